@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from provlake.plans import harvest, relational
+
+QUERIES = relational.QUERIES | harvest.QUERIES
+ORACLES = relational.ORACLES | harvest.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Metadata against stored rows, and weighted counts beside it."""
+    return QUERIES["weighted_counts"](spark, sf_dir).select("k", "weight", "n").unionByName(
+        QUERIES["bijection"](spark, sf_dir).groupBy("state").agg({"*": "count"}).selectExpr("state AS k", "`count(1)` AS weight", "`count(1)` AS n")
+    )
