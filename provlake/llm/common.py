@@ -136,6 +136,13 @@ def steps(texts: list[str | None], most: int = STEP_BYTES):
         yield a, len(texts)
 
 
+def small(batches, rows: int = 512):
+    """Slices of Arrow batches, so that Python holds the texts of a few rows at a time."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def doc_columns(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, whatever else the table holds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

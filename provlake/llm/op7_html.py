@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import cut, table
+from provlake.llm.common import cut, small, table
 from provlake.llm.fm_index import suffix_order
 
 RUN, PAGES, PART = 6, 3, 300
@@ -126,10 +126,8 @@ def unique_runs(streams: list[list[list[str]]], run: int = RUN, pages: int = PAG
     for p, stream in enumerate(streams):
         for block in stream:
             whole[tuple(block)].add(p)
-            flat += [number.setdefault(t, len(number) + 1) for t in block]
-            owner += [p] * len(block)
-        flat.append(0)
-        owner.append(-1)
+            flat += [*[number.setdefault(t, len(number) + 1) for t in block], 0]  # runs end with their block
+            owner += [*[p] * len(block), -1]
     covered = np.zeros(len(flat), bool)
     if len(flat) > run:
         seq, own = np.array(flat, np.int64), np.array(owner, np.int64)
@@ -151,7 +149,7 @@ def unique_runs(streams: list[list[list[str]]], run: int = RUN, pages: int = PAG
         kept = []
         for block in stream:
             c = covered[i : i + len(block)]
-            i += len(block)
+            i += len(block) + 1
             if len(block) < run:
                 left = block if len(whole[tuple(block)]) < pages else []
             else:
@@ -160,7 +158,6 @@ def unique_runs(streams: list[list[list[str]]], run: int = RUN, pages: int = PAG
                     left = []  # what is left of a block is too short to be a unique run
             if left:
                 kept.append(left)
-        i += 1
         out.append(kept)
     return out
 
@@ -169,7 +166,7 @@ _PARSED = "page_id long, url string, text string, loose array<string>, spare arr
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         texts, loose, spare = [], [], []
         for page in b.column(2).to_pylist():
             found = blocks(page)
