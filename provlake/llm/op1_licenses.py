@@ -2,15 +2,16 @@
 
 Only DataFrame functions are used.  A text's words (a-z, 0-9 runs of the lower-cased text) give
 five-word shingles, and shorter ones of the lengths of templates that have fewer words than five.
-Windows of WIDTH words start every STRIDE words.  Their MinHash sketch is one permutation cut into BINS
-bins: a bin's value is the smallest shingle hash in it, and each bin is a band of one row.  A window that
-holds a template's shingle agrees with the template in that shingle's bin unless another of its (at most
-WIDTH per shingle length) shingles falls into the same bin with a smaller value: at most WIDTH / (2 * BINS),
-under 1 %.  A template needs one agreeing band in one window, and two windows hold each shingle, so
-retrieval fails with a probability below 1 % for one-shingle templates and far less for longer ones.
+Windows of WIDTH words start every STRIDE words, so each shingle lies whole in one of them at least.
+Their MinHash sketch is one permutation cut into 2**BIN_BITS bins by a hash's highest bits: a bin's value
+is the smallest shingle hash in it, and each bin is a band of one row.  A window that holds a template's
+shingle agrees with the template in that shingle's bin unless another of its (at most WIDTH per shingle
+length) shingles falls into the same bin with a smaller value: a chance of WIDTH / 2**BIN_BITS / 2 per
+length, under 1 % for two lengths.  One agreeing band in one window retrieves a template, so retrieval
+fails with a probability below 1 % for one-shingle templates and that to the power of n for n shingles.
 
 Candidates are verified exactly: the share of the template's distinct shingles that stand within the
-template's length of the place, at least THRESHOLD (0.8).
+template's length of the window, at least THRESHOLD (0.8).
 
 Defined cases: null or wordless texts have no license; rows that share a doc_id are reported together;
 ties need no rule, as each (document, license) pair is one row; no hits or an empty table give no rows.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from provlake.llm.common import table
 
-SHINGLE, WIDTH, STRIDE, BINS, THRESHOLD = 5, 32, 16, 2048, 0.8
+SHINGLE, WIDTH, STRIDE, BIN_BITS, THRESHOLD = 5, 64, 56, 13, 0.8
 TEMPLATE_LIMIT = 20_000
 
 #: Wordings of public licenses.
@@ -43,9 +44,8 @@ TEMPLATES = [
 
 
 def words_of(text: Column) -> Column:
-    """Runs of a-z and 0-9 of the lower-cased text."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(low, "[^a-z0-9]+"), lambda w: w != "")
+    """Runs of a-z and 0-9 of the lower-cased text; an empty word may stand at either end, in no template's shingle."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
 
 
 def _bind(value: Column, body) -> Column:
@@ -64,15 +64,15 @@ def shingles(words: Column, size: int) -> Column:
 
 
 def bands(hashes: Column) -> Column:
-    """(bin, smallest hash) of a window: the low bits choose the bin, the sort puts its smallest first."""
-    binned = F.array_sort(F.transform(hashes, lambda h: F.struct(F.pmod(h, F.lit(BINS)).alias("bin"), h.alias("h"))))
-    return _bind(binned, lambda b: F.filter(b, lambda x, i: (i == 0) | (F.get(b, i - 1)["bin"] != x["bin"])))
+    """A window's smallest hash of each bin: sorted, a bin's hashes stand together, the smallest first."""
+    place = lambda h: F.shiftright(h, 64 - BIN_BITS)
+    return _bind(F.sort_array(hashes), lambda b: F.filter(b, lambda x, i: (i == 0) | (place(F.get(b, i - 1)) != place(x))))
 
 
 def templates(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
     """license, template, n_words, size, shingles of each template."""
-    df = spark.createDataFrame(rows if rows is not None else TEMPLATES, "license string, template string")
-    df = df.select("license", "template", words_of(F.col("template")).alias("w")).where(F.size("w") > 0)
+    df = spark.createDataFrame(rows if rows is not None else TEMPLATES, "license string, template string").coalesce(1)
+    df = df.select("license", "template", F.filter(words_of(F.col("template")), lambda w: w != "").alias("w")).where(F.size("w") > 0)
     parts = [df.where(F.size("w") == n).select("*", F.lit(n).alias("size"), shingles(F.col("w"), n).alias("s")) for n in range(1, SHINGLE)]
     parts.append(df.where(F.size("w") >= SHINGLE).select("*", F.lit(SHINGLE).alias("size"), shingles(F.col("w"), SHINGLE).alias("s")))
     out = parts[0]
@@ -88,21 +88,22 @@ def scan(docs: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> Dat
         return docs.select("doc_id").limit(0).select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("n_places"))
     if facts.n > TEMPLATE_LIMIT:
         raise ValueError(f"more than {TEMPLATE_LIMIT} templates: they are broadcast")
-    out = None
-    for size in sorted(facts.sizes):
-        base = docs.select("doc_id", _bind(words_of(F.col("text").cast("string")), lambda w: shingles(w, size)).alias("h")).where(F.size("h") > 0)
-        each = WIDTH - size + 1
-        # a window is its number and its shingles; the last one may be shorter
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("h") - each + STRIDE - 1) / STRIDE)).cast("int"))
-        found = base.select("doc_id", "h", F.explode(starts).alias("win"))
-        lead = (facts.longest + WIDTH) if facts.longest else WIDTH
-        place = F.struct("win", F.slice("h", F.greatest(F.lit(1), F.col("win") * STRIDE + 1 - facts.longest), F.lit(lead + facts.longest)).alias("near"))
-        sketch = found.select("doc_id", place.alias("place"), F.explode(bands(F.slice("h", F.col("win") * STRIDE + 1, each))).alias("band"))
-        keyed = known.where(F.col("size") == size).select("license", "template", "n_words", "s", F.explode("s").alias("h"))
-        keyed = keyed.select("license", "template", "n_words", "s", F.struct(F.pmod("h", F.lit(BINS)).alias("bin"), "h").alias("band"))
-        got = sketch.join(F.broadcast(keyed), "band")
-        got = got.select("doc_id", "license", "place.win", (F.size(F.array_intersect("s", "place.near")) / F.size("s")).alias("containment")).where(F.col("containment") >= threshold)
-        out = got if out is None else out.unionByName(got)
+    sizes, longest = sorted(facts.sizes), facts.longest
+    # every shingle length from one split of the text
+    cut = _bind(words_of(F.col("text").cast("string")), lambda w: F.struct(F.size(w).alias("n"), *[shingles(w, s).alias(f"h{s}") for s in sizes]))
+    base = docs.where(F.col("text").isNotNull()).select("doc_id", cut.alias("c")).select("doc_id", "c.*")
+    last = F.ceil(F.greatest(F.col("n") - WIDTH, F.lit(0)) / STRIDE).cast("int")
+    found = base.select("doc_id", *[f"h{s}" for s in sizes], F.explode(F.sequence(F.lit(0), last)).alias("win"))
+    start = F.col("win") * STRIDE
+    window = F.concat(*[F.slice(f"h{s}", start + 1, WIDTH - s + 1) for s in sizes])
+    sketch = found.select("doc_id", *[f"h{s}" for s in sizes], "win", F.explode(bands(window)).alias("band"))
+    keyed = known.select("license", "size", "s", F.explode("s").alias("band"))
+    got = sketch.join(F.broadcast(keyed), "band")
+    # only now, for candidates, the shingles around the window
+    low = F.greatest(F.lit(0), start - longest)
+    near = lambda s: F.slice(f"h{s}", low + 1, start - low + WIDTH + longest)
+    share = F.coalesce(*[F.when(F.col("size") == s, F.size(F.array_intersect("s", near(s))) / F.size("s")) for s in sizes])
+    out = got.select("doc_id", "license", "win", share.alias("containment")).where(F.col("containment") >= threshold)
     return out.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.countDistinct("win").alias("n_places"))
 
 
