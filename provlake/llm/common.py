@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step holds; several 8-byte arrays of this length live at once.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; Arrow batches of texts are kept small in both the JVM and Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -138,9 +140,26 @@ def steps(texts: list[str | None], most: int = STEP_BYTES):
 
 def small(batches, rows: int = 512):
     """Slices of Arrow batches, so that Python holds the texts of a few rows at a time."""
+    give_back()  # workers live on: what the last task freed
     for b in batches:
         for a in range(0, b.num_rows, rows):
             yield b.slice(a, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker's pools keep it otherwise, beside the JVM's heap."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def doc_columns(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import cut, doc_columns, table
+from provlake.llm.common import cut, doc_columns, small, table
 
 SAMPLE = 24_000
 CUTOFF = 0.3
@@ -83,7 +83,7 @@ class Featurizer:
         text = text or ""
         if not text.strip():
             return [0.0] * len(FEATURES)
-        if len(self.memo) > 400_000:
+        if len(self.memo) > 150_000:
             self.memo.clear()
         memo = self.memo
         words = _WORD.findall(text.lower())
@@ -220,7 +220,7 @@ class Model:
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     toxic, every = Counter(), Counter()
     pack = lambda: pa.RecordBatch.from_arrays([pa.array(list(every)), pa.array([toxic[k] for k in every], pa.int64()), pa.array(list(every.values()), pa.int64())], names=["term", "toxic", "n"])
-    for b in batches:
+    for b in small(batches):
         for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             got = terms(text or "")
             every.update(got)
@@ -236,7 +236,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _feature_rows(lexicon: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Featurizer(lexicon)
-        for b in batches:
+        for b in small(batches):
             x = f.rows(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), b.column(1).cast(pa.int32()), b.column(2).cast(pa.int32())], names=["x", "y", "fold"])
 
@@ -275,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             ids, texts = b.column(0), b.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(model.score(texts))], names=["doc_id", "score"])
 
@@ -297,7 +297,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keeper(model: Model, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             ok = model.score(b.column(at).to_pylist()) < CUTOFF
             yield b.filter(pa.array(ok))
 

@@ -24,13 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm.common import doc_columns, table
+from provlake.llm.common import doc_columns, small, table
 
 #: White space on which regex engines agree; other kinds take the slow path.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 MASK_BITS, LEAST, MOST = 10, 256, 8192
-CHUNKS, PIECES = 20_000, 300_000
+CHUNKS, PIECES = 5_000, 100_000
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -126,7 +126,8 @@ class Codec:
                 if (g := memo.old.get(w)) is not None:
                     miss[w] = g
             new = [w for w, g in miss.items() if g is None]
-            miss.update(zip(new, self._library(new)))
+            for w, (ids, dec) in zip(new, self._library(new)):
+                miss[w] = (ids, w if dec == w else dec)  # one copy of a text that decodes to itself
             for w, g in miss.items():
                 memo.put(w, g)
             got = [g if g is not None else miss[w] for w, g in zip(words, got)]
@@ -182,7 +183,7 @@ def _worker(path: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-        for b in batches:
+        for b in small(batches):
             docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for a in range(0, len(docs), 256):
                 got = [codec.encode(t) for t in texts[a : a + 256]]

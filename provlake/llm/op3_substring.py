@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import SPACES, Words, cut, drop_cut, gram_hashes, mix, steps, table
+from provlake.llm.common import SPACES, Words, cut, drop_cut, give_back, gram_hashes, mix, small, steps, table
 from provlake.llm.fm_index import FMIndex, repeated_windows
 
 WINDOW, SHINGLE = 35, 8
@@ -108,7 +108,7 @@ _KEY = pa.struct([("id", pa.int64()), ("h", pa.int64())])
 
 def _anchors(window: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             keys, texts = b.column(0), b.column(1).to_pylist()
             for x, y in steps(texts):
                 s = Segments(texts[x:y], window, shingle)
@@ -127,7 +127,7 @@ def _needed(window: int, shards: int):
     """The words of needed segments; for crowded minimizers a hash of each window instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts, needs = b.column(0).to_pylist(), b.column(1).to_pylist()
             rows: list[tuple] = []
             for text, need in zip(texts, needs):
@@ -161,6 +161,7 @@ def _search(window: int):
     """One shard: index all its segments, stream those that occur once, report what repeats."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         rows = rows.sort_values(["key", "print"], kind="stable").reset_index(drop=True)
         words = [t.split(" ") for t in rows["words"]]
         number: dict[str, int] = {}
@@ -234,7 +235,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
 
 def _remover(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts, spans = b.column(b.schema.get_field_index("text")).to_pylist(), b.column(b.schema.get_field_index("spans")).to_pylist()
             kept, n, gone = [], [], []
             for t, sp in zip(texts, spans):

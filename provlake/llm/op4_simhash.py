@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import LOWER, cut, doc_columns, table
+from provlake.llm.common import LOWER, cut, doc_columns, small, table
 from provlake.llm.graph import components
 
 SEED, BITS, WITHIN = 42, 3, 2
@@ -51,7 +51,7 @@ def fingerprint(text: str | None, width: int = BITS) -> int:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         got = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(got)], names=["doc_id", "fp"])
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provlake.llm import range_coder
-from provlake.llm.common import doc_columns, shared_dir, table
+from provlake.llm.common import doc_columns, shared_dir, small, table
 from provlake.llm.op2_bpe import ODD_SPACE, Memo, vocabulary
 
 END = 1
@@ -38,7 +38,7 @@ _SCHEMA = "doc_ids array<long>, doc_lens array<long>, block_lens array<long>, bl
 
 
 class Tokens:
-    def __init__(self, path: str, words: int = 300_000) -> None:
+    def __init__(self, path: str, words: int = 120_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -77,7 +77,7 @@ def _writer(path: str, end: int, segment: int):
             blocks, sizes, sums = range_coder.encode(np.frombuffer(b"".join(held), "<u2"))
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((docs, lens, sizes, sums, blocks), _KINDS)], names=_NAMES)
 
-        for b in batches:
+        for b in small(batches):
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 x = tokens.ids(t) + tail
                 docs.append(i)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import ALNUM, Words, cut, doc_columns, gram_hashes, steps, table
+from provlake.llm.common import ALNUM, Words, cut, doc_columns, gram_hashes, small, steps, table
 
 WINDOW, SHINGLE = 13, 5
 #: Benchmark text that one scan of the documents takes; more is taken in blocks of this size.
@@ -61,7 +61,7 @@ def _scanner(grams: dict[int, np.ndarray], reach: int):
         marks = {k: np.zeros(1 << 20, bool) for k in grams}
         for k, g in grams.items():
             marks[k][(g.view(np.uint64) >> np.uint64(44)).astype(np.int64)] = True
-        for batch in batches:
+        for batch in small(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in steps(texts):
                 w = Words(texts[a:b], ALNUM, True)
