@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import harvest, relational
+from provlake.plans import curation, harvest, relational
 
-QUERIES = relational.QUERIES | harvest.QUERIES
-ORACLES = relational.ORACLES | harvest.ORACLES
+QUERIES = relational.QUERIES | harvest.QUERIES | curation.QUERIES
+ORACLES = relational.ORACLES | harvest.ORACLES | curation.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

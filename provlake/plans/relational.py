@@ -171,12 +171,12 @@ def round_robin(t):
     return split.round_robin(p, "position", 7).groupBy("part").agg(F.count("*").alias("n"), F.sum(cents(F.col("o_totalprice"))).alias("weight"))
 
 
-@query("""WITH RECURSIVE g AS (SELECT o_custkey, count(*) w, row_number() OVER (ORDER BY count(*) DESC, o_custkey) i FROM orders WHERE o_custkey <= 60 GROUP BY 1),
+@query("""WITH RECURSIVE g AS (SELECT o_custkey, count(*) w, row_number() OVER (ORDER BY count(*) DESC, o_custkey) i FROM orders GROUP BY 1),
 r AS (SELECT 0::BIGINT AS i, [0, 0, 0, 0]::BIGINT[] AS load, NULL::BIGINT AS k, NULL::BIGINT AS w, NULL::INT AS part UNION ALL
  SELECT g.i, list_transform(r.load, lambda x, j: CASE WHEN j = list_position(r.load, list_min(r.load)) THEN x + g.w ELSE x END), g.o_custkey, g.w, list_position(r.load, list_min(r.load)) - 1 FROM r JOIN g ON g.i = r.i + 1)
 SELECT k AS o_custkey, w AS weight, part FROM r WHERE k IS NOT NULL""")
 def lpt_parts(t):
-    g = t("orders").where("o_custkey <= 60").groupBy("o_custkey").agg(F.count("*").alias("weight"))
+    g = t("orders").groupBy("o_custkey").agg(F.count("*").alias("weight"))
     return split.lpt(g, "o_custkey", "weight", 4)
 
 
@@ -191,9 +191,13 @@ def budget_prefix(t):
     return split.budget_prefix(t("documents").select("doc_id", "n_chars"), ["n_chars", "doc_id"], "n_chars", 100_000).select("doc_id", "n_chars", "running")
 
 
-@query(None)
+@query("""WITH RECURSIVE o AS (SELECT doc_id, n_chars::BIGINT AS b, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+r AS (SELECT 0::BIGINT AS i, 0::BIGINT AS used, 0::BIGINT AS files, NULL::BIGINT AS doc_id, NULL::VARCHAR AS decision UNION ALL
+ SELECT o.i, CASE WHEN b <= 200000 AND used + b <= 200000 AND files < 500 THEN used + b ELSE used END, CASE WHEN b <= 200000 AND used + b <= 200000 AND files < 500 THEN files + 1 ELSE files END, o.doc_id,
+ CASE WHEN b > 200000 THEN 'never_fits' WHEN used + b > 200000 OR files >= 500 THEN 'defer' ELSE 'fits' END FROM r JOIN o ON o.i = r.i + 1)
+SELECT doc_id::VARCHAR AS id, doc_id AS pos, decision FROM r WHERE i > 0""")
 def budget_admit(t):
-    d = t("documents").where("doc_id < 2000").select("doc_id", "n_chars", F.lit(1).alias("files"))
+    d = t("documents").select("doc_id", "n_chars", F.lit(1).alias("files"))
     return split.admit(d, "doc_id", "doc_id", "n_chars", "files", 200_000, 500)
 
 
