@@ -201,7 +201,9 @@ def budget_admit(t):
     return split.admit(d, "doc_id", "doc_id", "n_chars", "files", 200_000, 500)
 
 
-@query(None)
+@query("""WITH RECURSIVE e AS (SELECT floor(epoch(ts))::BIGINT AS s FROM events), r AS (SELECT min(s) AS a, max(s) + 1 AS b, count(*) AS n FROM e UNION ALL
+ SELECT h.a, h.b, count(s) FROM (SELECT unnest([{'a': a, 'b': (a + b) // 2}, {'a': (a + b) // 2, 'b': b}]) AS h FROM r WHERE n > 1000 AND b - a > 1) LEFT JOIN e ON s >= h.a AND s < h.b GROUP BY 1, 2)
+SELECT a AS start, b AS stop, n FROM r WHERE n <= 1000 OR b - a <= 1""")
 def time_bisect(t):
     df = t("events").select("ts")
     return df.sparkSession.createDataFrame(split.time_ranges(df, "ts", 1000), "start long, stop long, n long")
