@@ -1,11 +1,12 @@
 """HTML extraction: page structure, and a suffix array over each host's token streams.
 
-Every page is cut into blocks.  Blocks in an article or main element that are not in a menu, header,
-footer, sidebar, notice, advert, form or comment are the page's text.  A page without such an element
-has its remaining blocks checked against its host: the token streams of the host's pages are
-concatenated, a suffix array finds runs of RUN or more tokens that stand on PAGES or more different
-pages, tokens covered by such runs are boilerplate, and the unique runs are kept.  What an article
-element holds is never dropped for being repeated: copied articles are still articles.
+Every page is cut into blocks.  The token streams of all pages of a host, whatever elements they are in,
+are concatenated, a suffix array finds runs of RUN or more tokens that stand on PAGES or more different
+pages, and tokens covered by such runs are boilerplate.  Structure is the extra check.  Blocks in an
+article or main element that are not in a menu, header, footer, sidebar, notice, advert, form or comment
+are the article: those that such runs cover whole are dropped, but its h1 stays, and it stays whole if
+more than half of it is covered, as copied articles are still articles.  A page without such an element
+keeps the unique runs of its remaining blocks.
 
 Hosts are dealt in parts of about PART pages by a hash of the page, so a host of any size makes tasks of
 bounded size.  Defined cases: null or empty html gives an empty text; pages that repeat come back as
@@ -21,7 +22,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +53,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _CLOSES_P = _BLOCK - {"body", "html", "head"}
 
 
-def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
-    """(text, in an article or main element, in boilerplate by structure) of each block that has text."""
-    out: list[tuple[str, bool, bool]] = []
+def blocks(page: str | None) -> list[tuple[str, bool, bool, bool]]:
+    """(text, in an article or main element, in boilerplate by structure, in an h1) of each block that has text."""
+    out: list[tuple[str, bool, bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = []
     held: list[str] = []
     main = boiler = False
@@ -66,7 +66,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             text = " ".join((_html.unescape(raw) if "&" in raw else raw).split())
             held.clear()
             if text:
-                out.append((text, main, boiler))
+                out.append((text, main, boiler, any(x[0] == "h1" for x in stack)))
 
     for m in _TOKEN.finditer(page or ""):
         got = m[0]
@@ -113,37 +113,56 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def article(found: list[tuple[str, bool, bool]]) -> list[str] | None:
-    """The blocks of the article; None if the page has no article or main element with text."""
-    inside = [t for t, main, bad in found if main and not bad]
-    return inside if inside or any(main for _, main, _ in found) else None
+def article(found: list[tuple[str, bool, bool, bool]]) -> list[int] | None:
+    """Places of the article's blocks; None if the page has no article or main element with text."""
+    inside = [i for i, (_, main, bad, _) in enumerate(found) if main and not bad]
+    return inside if inside or any(main for _, main, _, _ in found) else None
 
 
-def unique_runs(streams: list[list[list[str]]], run: int = RUN, pages: int = PAGES) -> list[list[list[str]]]:
-    """Each page's blocks (lists of tokens) without the tokens that runs shared by ``pages`` pages cover."""
+def host_runs(streams: list[list[list[str]]], owners: list, run: int = RUN) -> tuple:
+    """The suffix array's runs of ``run`` tokens over the streams of a host's pages.
+
+    seq (token numbers, 0 ends a block), places of the runs, the group of equal runs each is in, how many
+    pages each group stands on, the distinct tokens, and the pages of each whole block.  A page may
+    come in several rows: ``owners`` names each stream's page.
+    """
     number: dict[str, int] = {}
+    page: dict = {}
     flat, owner, whole = [], [], defaultdict(set)
-    for p, stream in enumerate(streams):
+    for name, stream in zip(owners, streams):
+        p = page.setdefault(name, len(page))
         for block in stream:
-            whole[tuple(block)].add(p)
+            if len(block) < run:
+                whole[tuple(block)].add(p)
             flat += [*[number.setdefault(t, len(number) + 1) for t in block], 0]  # runs end with their block
             owner += [*[p] * len(block), -1]
-    covered = np.zeros(len(flat), bool)
-    if len(flat) > run:
-        seq, own = np.array(flat, np.int64), np.array(owner, np.int64)
+    seq, own = np.array(flat, np.int64), np.array(owner, np.int64)
+    order = group = on = np.zeros(0, np.int64)
+    if len(seq) > run:
         order = suffix_order(seq, 8 * (run // 8 + 1))
         order = order[order <= len(seq) - run]
-        same = np.ones(max(0, len(order) - 1), bool)
+        inside = np.ones(len(order), bool)
         for j in range(run):
-            same &= (seq[order[:-1] + j] == seq[order[1:] + j]) & (seq[order[1:] + j] > 0)
+            inside &= seq[order + j] > 0
+        order = order[inside]
+    if len(order):
+        same = np.ones(len(order) - 1, bool)
+        for j in range(run):
+            same &= seq[order[:-1] + j] == seq[order[1:] + j]
         group = np.concatenate(([0], np.cumsum(~same)))
-        pairs = np.unique(group * np.int64(len(streams) + 2) + own[order] + 1) // (len(streams) + 2)
-        often = np.bincount(pairs, minlength=group[-1] + 1)[group] >= pages
-        lone = np.zeros(len(order), bool)
-        lone[1:] |= same
-        lone[:-1] |= same
-        for at in order[often & lone]:
-            covered[at : at + run] = True
+        pairs = np.unique(group * np.int64(len(page)) + own[order]) // len(page)
+        on = np.bincount(pairs, minlength=group[-1] + 1)
+    return seq, order, group, on, number, whole
+
+
+def kept_blocks(streams: list[list[list[str]]], owners: list, run: int = RUN, pages: int = PAGES) -> list[list[tuple[list[str], bool]]]:
+    """For each block its tokens that no run shared by ``pages`` pages covers, and whether all are covered."""
+    seq, order, group, on, _, whole = host_runs(streams, owners, run)
+    covered = np.zeros(len(seq), bool)
+    if len(order):
+        at = order[(on >= pages)[group]]
+        for j in range(run):
+            covered[at + j] = True
     out, i = [], 0
     for stream in streams:
         kept = []
@@ -156,70 +175,62 @@ def unique_runs(streams: list[list[list[str]]], run: int = RUN, pages: int = PAG
                 left = [t for t, x in zip(block, c) if not x]
                 if c.any() and len(left) < run:
                     left = []  # what is left of a block is too short to be a unique run
-            if left:
-                kept.append(left)
+            kept.append((left, bool(c.all())))
         out.append(kept)
     return out
 
 
-_PARSED = "page_id long, url string, text string, loose array<string>, spare array<string>"
+#: What a block is by structure.
+SPARE, LOOSE, ARTICLE, TITLE = range(4)
+
+
+def page_text(stream: list[list[str]], kinds: list[int], kept: list[tuple[list[str], bool]]) -> str:
+    """A page's text: what the runs leave of it, with whole blocks, titles and copied articles protected."""
+    art = [i for i, k in enumerate(kinds) if k >= ARTICLE]
+    if not art:
+        return "\n".join(" ".join(kept[i][0]) for i, k in enumerate(kinds) if k == LOOSE and kept[i][0])
+    gone = {i for i in art if kinds[i] == ARTICLE and kept[i][1]}
+    if 2 * sum(len(stream[i]) for i in gone) > sum(len(stream[i]) for i in art):
+        gone = set()  # a copied article is an article
+    return "\n".join(" ".join(stream[i]) for i in art if i not in gone)
+
+
+_DEALT = "page_id long, url string, blocks array<string>, kinds array<tinyint>"
+_TEXT = "page_id long, url string, text string"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in small(batches):
-        texts, loose, spare = [], [], []
+        texts, kinds = [], []
         for page in b.column(2).to_pylist():
             found = blocks(page)
             art = article(found)
-            texts.append("\n".join(art) if art is not None else None if found else "")
-            loose.append([t for t, _, bad in found if not bad] if art is None and found else [])
-            spare.append([t for t, main, bad in found if bad or (art is not None and not main)])
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(texts, pa.string()), pa.array(loose, pa.list_(pa.string())), pa.array(spare, pa.list_(pa.string()))], names=["page_id", "url", "text", "loose", "spare"])
-
-
-def _host_part(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pages of one part of a host; only those without an article come back."""
-    rows = rows.reset_index(drop=True)
-    ask = [i for i in range(len(rows)) if rows["text"][i] is None]
-    if not ask:
-        return pd.DataFrame({"page_id": [], "url": [], "text": []}).astype({"page_id": "Int64"})
-    streams = [[t.split(" ") for t in [*rows["loose"][i], *rows["spare"][i]]] for i in range(len(rows))]
-    kept = unique_runs(streams)
-    out = []
-    for i in ask:
-        part = unique_part(streams[i][: len(rows["loose"][i])], kept[i])
-        out.append((rows["page_id"][i], rows["url"][i], "\n".join(" ".join(b) for b in part)))
-    return pd.DataFrame(out, columns=["page_id", "url", "text"])
-
-
-def unique_part(own: list[list[str]], kept: list[list[str]]) -> list[list[str]]:
-    """Those kept runs that come from the page's own loose blocks, which stand first."""
-    out, j = [], 0
-    for block in own:
-        if j < len(kept) and _within(kept[j], block):
-            out.append(kept[j])
-            j += 1
-    return out
+            inside = set(art or ())
+            texts.append([t for t, *_ in found])
+            kinds.append([(TITLE if h1 else ARTICLE) if i in inside else LOOSE if art is None and not bad else SPARE for i, (_, _, bad, h1) in enumerate(found)])
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(texts, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int8()))], names=["page_id", "url", "blocks", "kinds"])
+
+
+def _streams(rows: pa.Table) -> tuple[list, list, list]:
+    ids, urls = rows["page_id"].to_pylist(), rows["url"].to_pylist()
+    return ids, urls, [[t.split(" ") for t in page] for page in rows["blocks"].to_pylist()]
 
 
-def _within(run: list[str], block: list[str]) -> bool:
-    it = iter(block)
-    return all(t in it for t in run)
+def _host_part(rows: pa.Table) -> pa.Table:
+    ids, urls, streams = _streams(rows)
+    kept = kept_blocks(streams, list(zip(ids, urls)))
+    texts = [page_text(s, k, x) for s, k, x in zip(streams, rows["kinds"].to_pylist(), kept)]
+    return pa.table([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, part: int = PART) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = cut(base.mapInArrow(_parse, _PARSED), "op7-parsed")
-    done = parsed.where("text is not null").select("page_id", "url", "text")
     host = F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit(""))
-    streams = parsed.select("page_id", "url", "text", "loose", "spare", host.alias("host"))
-    sizes = cut(streams.groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("text").isNull()).alias("open")).select("host", "open", F.ceil(F.col("n") / part).alias("parts")), "op7-hosts")
-    # the evidence: an article's own text isn't needed, and hosts without open pages aren't either
-    dealt = streams.join(sizes.where("open > 0"), "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
-    dealt = dealt.select("host", "part", "page_id", "url", F.when(F.col("text").isNotNull(), "").alias("text"), "loose", "spare")
-    rest = dealt.groupBy("host", "part").applyInPandas(_host_part, "page_id long, url string, text string")
-    return done.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    sizes = cut(base.groupBy(host.alias("host")).agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / part).alias("parts")), "op7-hosts")
+    streams = base.mapInArrow(_parse, _DEALT).withColumn("host", host)
+    dealt = streams.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    return dealt.groupBy("host", "part").applyInArrow(_host_part, _TEXT).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,6 +278,17 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in got) and op7_html.extract(df.limit(0)).count() == 0
 
 
+def test_html_runs_decide_in_articles(spark):
+    line = "Get our letter every day and never miss a story"
+    copied = f"<article><h1>A copied story</h1><p>{words(40)}</p><p>{words(30)}</p></article>"
+    rows = [(i, f"http://h/{i}", f"<article><h1>Title</h1><p>Story {i} {words(40)}</p><p>{line}</p><p>Yes.</p></article>") for i in range(4)]
+    rows += [(10 + i, f"http://h/{10 + i}", copied) for i in range(3)]
+    rows += [(20, "http://one/20", "<article><p>Only page of this host, in three rows of the table</p></article>")] * 3
+    by = {r.page_id: r.text for r in op7_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(line not in by[i] and by[i].startswith(f"Title\nStory {i} ") and by[i].endswith("\nYes.") for i in range(4))
+    assert all(by[10 + i].count("\n") == 2 for i in range(3)) and by[20].startswith("Only page")
+
+
 def test_url_filter(spark):
     urls = [None, "", "nothing", "http://EXAMPLE.org/es/1", "https://a.b.example.org/en/17?x#y", "http://x.com/fr/", "http://x.com/de/a", "http://x.com/it/", "ftp://notexample.org/es/", "http://org", "http://org/", "http://x.net/fr/", "http://example.org?/es/", "://com/fr/", "http://a..com/de/x"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, urls[3]])], "page_id long, url string").withColumn("host", F.lit("clash"))
