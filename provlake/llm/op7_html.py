@@ -9,7 +9,12 @@ more than half of it is covered, as copied articles are still articles.  A page
 keeps the unique runs of its remaining blocks.
 
 Hosts are dealt in parts of about PART pages by a hash of the page, so a host of any size makes tasks of
-bounded size.  Defined cases: null or empty html gives an empty text; pages that repeat come back as
+bounded size.  The evidence is the whole host's: each part of a host of several sends the keys of its
+distinct runs with their numbers of pages, the numbers are added up over the parts in slices of the keys,
+and each part gets back those of its keys that stand on PAGES pages of the host.  A key has KEY_BITS
+bits, so two different runs of a host of 10 million runs share one with a chance of 4e-8 for each run.
+
+Defined cases: null or empty html gives an empty text; pages that repeat come back as
 often as they came; a null url is a host of its own; cut-off markup at the end of a page is dropped and
 cut-off character references are text; an empty table gives no rows.
 """
@@ -23,13 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import cut, small, table
+from provlake.llm.common import cut, mix, small, table
 from provlake.llm.fm_index import suffix_order
 
 RUN, PAGES, PART = 6, 3, 300
+#: Bits of a run's key (whole bytes); parts whose keys one slice holds.
+KEY_BITS, SLICE = 48, 8
 
 _TOKEN = re.compile(
     r"[^<]++|<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe|title)\b.*?(?:</\1\s*>|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|$)|"
@@ -155,12 +163,61 @@ def host_runs(streams: list[list[list[str]]], owners: list, run: int = RUN) -> t
     return seq, order, group, on, number, whole
 
 
-def kept_blocks(streams: list[list[list[str]]], owners: list, run: int = RUN, pages: int = PAGES) -> list[list[tuple[list[str], bool]]]:
-    """For each block its tokens that no run shared by ``pages`` pages covers, and whether all are covered."""
-    seq, order, group, on, _, whole = host_runs(streams, owners, run)
+def run_keys(seq: np.ndarray, at: np.ndarray, number: dict[str, int], run: int) -> np.ndarray:
+    """KEY_BITS-bit keys of the runs at these places, the same in every part of a host."""
+    token = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) for t in number], np.uint64)
+    h = np.zeros(len(at), np.uint64)
+    for j in range(run):
+        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + token[seq[at + j] - 1])
+    return h >> np.uint64(64 - KEY_BITS)
+
+
+def block_key(block: tuple[str, ...]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(block).encode("utf-8", "replace"), len(block)) >> (64 - KEY_BITS)
+
+
+def evidence(streams: list[list[list[str]]], owners: list, run: int = RUN, pages: int = PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a part's distinct runs and whole short blocks, and on how many pages (at most ``pages``) each stands."""
+    seq, order, group, on, number, whole = host_runs(streams, owners, run)
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    keys = np.concatenate((run_keys(seq, order[first], number, run), np.array([block_key(b) for b in whole], np.uint64)))
+    n = np.concatenate((on, np.array([len(p) for p in whole.values()], np.int64)))
+    return add_up(keys, n, pages)
+
+
+def add_up(keys: np.ndarray, n: np.ndarray, pages: int) -> tuple[np.ndarray, np.ndarray]:
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.minimum(np.bincount(place, n, len(distinct)), pages).astype(np.uint8)
+
+
+def pack(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Byte planes of the sorted keys' differences, and the counts; a shuffle's codec shortens the upper planes."""
+    step = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return step[:, : KEY_BITS // 8].T.tobytes() + n.astype(np.uint8).tobytes()
+
+
+def unpack(got: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(got, np.uint8).reshape(KEY_BITS // 8 + 1, -1)
+    step = np.zeros((planes.shape[1], 8), np.uint8)
+    step[:, : KEY_BITS // 8] = planes[:-1].T
+    return np.cumsum(step.view("<u8").ravel(), dtype=np.uint64), planes[-1]
+
+
+def kept_blocks(streams: list[list[list[str]]], owners: list, run: int = RUN, pages: int = PAGES, known: np.ndarray | None = None) -> list[list[tuple[list[str], bool]]]:
+    """For each block its tokens that no run shared by ``pages`` pages covers, and whether all are covered.
+
+    ``known``: sorted keys of runs and blocks that stand on so many pages of the whole host.
+    """
+    seq, order, group, on, number, whole = host_runs(streams, owners, run)
     covered = np.zeros(len(seq), bool)
+    often = on >= pages
+    common: set = set()
+    if known is not None and len(known):
+        common = {b for b in whole if _holds(known, np.array([block_key(b)], np.uint64))[0]}
+        if len(order):
+            often = often | _holds(known, run_keys(seq, order[np.flatnonzero(np.diff(group, prepend=-1))], number, run))
     if len(order):
-        at = order[(on >= pages)[group]]
+        at = order[often[group]]
         for j in range(run):
             covered[at + j] = True
     out, i = [], 0
@@ -170,7 +227,7 @@ def kept_blocks(streams: list[list[list[str]]], owners: list, run: int = RUN, pa
             c = covered[i : i + len(block)]
             i += len(block) + 1
             if len(block) < run:
-                left = block if len(whole[tuple(block)]) < pages else []
+                left = block if len(whole[tuple(block)]) < pages and tuple(block) not in common else []
             else:
                 left = [t for t, x in zip(block, c) if not x]
                 if c.any() and len(left) < run:
@@ -180,6 +237,10 @@ def kept_blocks(streams: list[list[list[str]]], owners: list, run: int = RUN, pa
     return out
 
 
+def _holds(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 #: What a block is by structure.
 SPARE, LOOSE, ARTICLE, TITLE = range(4)
 
@@ -196,6 +257,8 @@ def page_text(stream: list[list[str]], kinds: list[int], kept: list[tuple[list[s
 
 
 _DEALT = "page_id long, url string, blocks array<string>, kinds array<tinyint>"
+_KEYS_DDL = "host string, part long, slice int, keys binary"
+_KEYS = pa.schema([("host", pa.string()), ("part", pa.int64()), ("slice", pa.int32()), ("keys", pa.binary())])
 _TEXT = "page_id long, url string, text string"
 
 
@@ -216,9 +279,35 @@ def _streams(rows: pa.Table) -> tuple[list, list, list]:
     return ids, urls, [[t.split(" ") for t in page] for page in rows["blocks"].to_pylist()]
 
 
-def _host_part(rows: pa.Table) -> pa.Table:
+def _evidence(rows: pa.Table) -> pa.Table:
+    """The keys of one part of a host that has several, in slices by their highest bits."""
+    out, parts = [], rows["parts"][0].as_py()
+    if parts > 1:
+        ids, urls, streams = _streams(rows)
+        keys, n = evidence(streams, list(zip(ids, urls)))
+        slices = -(-parts // SLICE)
+        edge = np.searchsorted(keys * np.uint64(slices) >> np.uint64(KEY_BITS), np.arange(slices + 1, dtype=np.uint64))
+        out = [(rows["host"][0].as_py(), rows["part"][0].as_py(), i, pack(keys[a:b], n[a:b])) for i, (a, b) in enumerate(zip(edge.tolist(), edge[1:].tolist())) if b > a]
+    return pa.Table.from_pylist([dict(zip(_KEYS.names, x)) for x in out], _KEYS)
+
+
+def _common(rows: pa.Table) -> pa.Table:
+    """Of one slice of a host's keys, each part's share of those that stand on PAGES pages of the host."""
+    had = [unpack(x) for x in rows["keys"].to_pylist()]
+    keys, n = add_up(np.concatenate([k for k, _ in had]), np.concatenate([c for _, c in had]), PAGES)
+    often = keys[n >= PAGES]
+    out = []
+    for host, part, i, (k, c) in zip(rows["host"].to_pylist(), rows["part"].to_pylist(), rows["slice"].to_pylist(), had):
+        mine = k[np.isin(k, often) & (c < PAGES)]  # others are seen in the part itself
+        if len(mine):
+            out.append((host, part, i, pack(mine, np.full(len(mine), PAGES))))
+    return pa.Table.from_pylist([dict(zip(_KEYS.names, x)) for x in out], _KEYS)
+
+
+def _host_part(rows: pa.Table, known: pa.Table) -> pa.Table:
     ids, urls, streams = _streams(rows)
-    kept = kept_blocks(streams, list(zip(ids, urls)))
+    keys = [unpack(x)[0] for x in known["keys"].to_pylist()]
+    kept = kept_blocks(streams, list(zip(ids, urls)), known=np.sort(np.concatenate(keys)) if keys else None)
     texts = [page_text(s, k, x) for s, k, x in zip(streams, rows["kinds"].to_pylist(), kept)]
     return pa.table([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
@@ -230,7 +319,11 @@ def extract(pages: DataFrame, part: int = PART) -> DataFrame:
     sizes = cut(base.groupBy(host.alias("host")).agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / part).alias("parts")), "op7-hosts")
     streams = base.mapInArrow(_parse, _DEALT).withColumn("host", host)
     dealt = streams.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
-    return dealt.groupBy("host", "part").applyInArrow(_host_part, _TEXT).withColumn("n_chars", F.char_length("text").cast("long"))
+    # both uses of the dealt pages read one shuffle
+    keys = dealt.groupBy("host", "part").applyInArrow(_evidence, _KEYS_DDL)
+    known = keys.groupBy("host", "slice").applyInArrow(_common, _KEYS_DDL)
+    got = dealt.groupBy("host", "part").cogroup(known.groupBy("host", "part")).applyInArrow(_host_part, _TEXT)
+    return got.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

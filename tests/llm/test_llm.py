@@ -289,6 +289,23 @@ def test_html_runs_decide_in_articles(spark):
     assert all(by[10 + i].count("\n") == 2 for i in range(3)) and by[20].startswith("Only page")
 
 
+@pytest.mark.parametrize("part", [2, 300])
+def test_html_evidence_of_the_whole_host(spark, part):
+    line, rng = "Sign up today for the best of our weekly stories", random.Random(9)
+    rows = [(i, f"http://big/{i}", f"<div>Story {i} {words(30, rng)}</div>" + (f"<div>{line}</div><div>So short</div>" if i % 20 == 0 else "") + (f"<div>{line} twice</div>" if i % 50 == 1 else "")) for i in range(100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    by = {r.page_id: r.text for r in op7_html.extract(df, part).collect()}
+    assert len(by) == 100 and all(t.startswith(f"Story {i} ") for i, t in by.items())
+    assert not any("Sign up" in t or "So short" in t for t in by.values())
+
+
+def test_html_keys():
+    rng = np.random.RandomState(3)
+    keys = np.unique(rng.randint(0, 1 << op7_html.KEY_BITS, 5000).astype(np.uint64))
+    got, n = op7_html.unpack(op7_html.pack(keys, np.arange(len(keys)) % 4))
+    assert (got == keys).all() and (n == np.arange(len(keys)) % 4).all()
+
+
 def test_url_filter(spark):
     urls = [None, "", "nothing", "http://EXAMPLE.org/es/1", "https://a.b.example.org/en/17?x#y", "http://x.com/fr/", "http://x.com/de/a", "http://x.com/it/", "ftp://notexample.org/es/", "http://org", "http://org/", "http://x.net/fr/", "http://example.org?/es/", "://com/fr/", "http://a..com/de/x"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, urls[3]])], "page_id long, url string").withColumn("host", F.lit("clash"))
