@@ -53,6 +53,14 @@ _NAMES = re.compile(
     r"popup|modal|overlay|dialog|search|form|contentinfo|complementary|navigation|skip\w*|copyright|legal|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+#: The same inside an article: what marks boilerplate as a part of a name, and what only as a whole one.
+_INSIDE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor(?:s|ed)?|promo|cookies?|gdpr|nav|navbar|navigation|menu|breadcrumbs?|sidebar|widget|footer|pagination|pager|"
+    r"comments?|disqus|share|sharing|newsletter|subscribe|signup|popup|modal)(?:$|[\s_-])|"
+    r"(?:^|\s)(?:banner|consent|notices?|alert|side|aside|masthead|topbar|toolbar|replies|respond|social|related|recommend\w*|login|"
+    r"overlay|dialog|search|form|contentinfo|complementary|skip\w*|copyright|legal|disclaimer)(?:$|\s)",
+    re.I,
+)
 _BOILER = frozenset("nav footer aside form menu dialog button select option label fieldset head".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -112,9 +120,14 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, bool]]:
                     if stack[i][0] in _BLOCK:
                         break
             attrs = m[4] or m[7]
-            marks = " ".join(x[1].strip("\"'") for x in _MARK.findall(attrs)) if attrs else ""
+            named = [(k.lower(), x.strip("\"'")) for k, x in _MARK.findall(attrs)] if attrs else []
+            marks = " ".join(x for _, x in named)
             is_main = tag in ("article", "main") or "main" in marks.split() and tag in ("div", "section")
-            bad = tag in _BOILER or (tag == "header" and not main) or bool(marks and tag not in ("body", "html") and _NAMES.search(marks)) or bool(attrs and _HIDDEN.search(attrs))
+            if main or is_main:  # a label there may be any heading
+                names, marks = _INSIDE.search, " ".join(x for k, x in named if k != "aria-label")
+            else:
+                names = _NAMES.search
+            bad = tag in _BOILER or (tag == "header" and not main) or bool(marks and tag not in ("body", "html") and names(marks)) or bool(attrs and _HIDDEN.search(attrs))
             stack.append((tag, main or is_main, boiler or bad))
         main, boiler = stack[-1][1:] if stack else (False, False)
     flush()
@@ -122,9 +135,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, bool]]:
 
 
 def article(found: list[tuple[str, bool, bool, bool]]) -> list[int] | None:
-    """Places of the article's blocks; None if the page has no article or main element with text."""
-    inside = [i for i, (_, main, bad, _) in enumerate(found) if main and not bad]
-    return inside if inside or any(main for _, main, _, _ in found) else None
+    """Places of the article's blocks; None if no article or main element has text outside boilerplate."""
+    return [i for i, (_, main, bad, _) in enumerate(found) if main and not bad] or None
 
 
 def host_runs(streams: list[list[list[str]]], owners: list, run: int = RUN) -> tuple:

@@ -299,6 +299,20 @@ def test_html_evidence_of_the_whole_host(spark, part):
     assert not any("Sign up" in t or "So short" in t for t in by.values())
 
 
+def test_html_articles_and_boilerplate(spark):
+    body = f"<div class='body'><h1>A story</h1><p>Body {words(20)}</p></div>"
+    pages = [
+        body + "<div class='comments'><article>troll</article></div>",
+        body + "<aside><article>teaser</article></aside>",
+        "<article><header class='entry-header'><h1>The title</h1></header><section id='legal-history' aria-label='Legal notice'><p>Law</p></section><div class='related'>more</div><div class='comments-area'>troll</div></article>",
+        "<article class='post long-form'><div class='side-by-side'>Both</div><div class='share-links'>send</div></article>",
+    ]
+    df = spark.createDataFrame([(i, f"http://h{i}/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    by = {r.page_id: r.text for r in op7_html.extract(df).collect()}
+    assert all(by[i].startswith("A story\nBody ") and "troll" not in by[i] and "teaser" not in by[i] for i in (0, 1))
+    assert by[2] == "The title\nLaw" and by[3] == "Both"
+
+
 def test_html_keys():
     rng = np.random.RandomState(3)
     keys = np.unique(rng.randint(0, 1 << op7_html.KEY_BITS, 5000).astype(np.uint64))
