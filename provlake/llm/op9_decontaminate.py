@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import ALNUM, Words, cut, doc_columns, gram_hashes, small, steps, table
+from provlake.llm.common import ALNUM, Words, cut, gram_hashes, small, steps, table
 
 WINDOW, SHINGLE = 13, 5
 #: Benchmark text that one scan of the documents takes; more is taken in blocks of this size.
 BLOCK_CHARS = 8_000_000
 
-_SCAN = "doc_id long, n_words long, runs array<struct<start:int,words:array<string>,hits:array<struct<pos:int,gram:long>>>>"
+_SCAN = "row_key long, doc_id long, n_words long, runs array<struct<start:int,words:array<string>,hits:array<struct<pos:int,gram:long>>>>"
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -85,8 +85,8 @@ def _scanner(grams: dict[int, np.ndarray], reach: int):
                         runs[-1][2].append((p, v))
                     rows.append([{"start": s - lo, "words": w.text(s, e), "hits": [{"pos": p - lo, "gram": v} for p, v in got]} for s, e, got in runs])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b], pa.int64()), pa.array(w.n.tolist(), pa.int64()), pa.array(rows, _RUNS)],
-                    names=["doc_id", "n_words", "runs"],
+                    [batch.column(2).slice(a, b - a), pa.array(ids[a:b], pa.int64()), pa.array(w.n.tolist(), pa.int64()), pa.array(rows, _RUNS)],
+                    names=["row_key", "doc_id", "n_words", "runs"],
                 )
 
     return scan
@@ -95,23 +95,30 @@ def _scanner(grams: dict[int, np.ndarray], reach: int):
 _RUNS = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.list_(pa.string())), ("hits", pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.int64())])))]))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per input row: row_key, doc_id, n_words, spans (merged hit words) and items (sorted ids as strings)."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_chars: int = BLOCK_CHARS, key: str | None = None) -> DataFrame:
+    """Per input row: row_key, doc_id, n_words, spans (merged hit words) and items (sorted ids as strings).
+
+    ``key``: a column of written, distinct longs to take as row_key.
+    """
     spark = docs.sparkSession
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, (F.monotonically_increasing_id() if key is None else F.col(key)).alias("row_key"))
+    if blocks > 1 and key is None:
+        rows = cut(rows, "op9-rows")  # every block must see the same keys
     scanned, found = None, None
     for n in range(blocks):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == n) if blocks > 1 else items
         wins = benchmark_windows([(r.item_id, r.text) for r in part.collect()], window, shingle)
         grams = {k: np.unique(np.array([v for x in wins if x[4] == k for _, v in x[3]], np.int64)) for k in {x[4] for x in wins}}
-        base = doc_columns(docs).mapInArrow(_scanner(grams, window - 1), _SCAN)
-        hit = cut(base.withColumn("row_key", F.monotonically_increasing_id()) if scanned is None else base.where(F.size("runs") > 0).withColumn("row_key", F.lit(None).cast("long")), "op9-scan")
+        base = rows.mapInArrow(_scanner(grams, window - 1), _SCAN)
+        hit = cut(base if scanned is None else base.where(F.size("runs") > 0), "op9-scan")
         scanned = hit if scanned is None else scanned
         if not wins:
             continue
-        runs = hit.select("row_key", "doc_id", F.explode("runs").alias("r"))
+        runs = hit.select("row_key", F.explode("runs").alias("r"))
         hits = runs.select(F.explode("r.hits.gram").alias("gram"))
         seen = hits.groupBy("gram").agg(F.count("*").alias("n"))
         kinds = "item string, win long, words array<string>, grams array<struct<offset:int,gram:long>>"
@@ -125,33 +132,35 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             .where("p.n > 0")
             .select(F.col("p.gram").alias("gram"), F.col("p.offset").alias("offset"), "item", "w")
         )
-        at = runs.select("row_key", "doc_id", F.col("r.start").alias("start"), F.col("r.words").alias("words"), F.explode("r.hits").alias("h"))
+        at = runs.select("row_key", F.col("r.start").alias("start"), F.col("r.words").alias("words"), F.explode("r.hits").alias("h"))
         s = F.col("h.pos") - F.col("offset")
         got = (
             at.join(F.broadcast(prefix), F.col("h.gram") == prefix["gram"])
             .where((s >= F.col("start")) & (s + F.size("w") <= F.col("start") + F.size("words")))
             .where(F.slice("words", s - F.col("start") + 1, F.size("w")) == F.col("w"))
-            .select("row_key", "doc_id", "item", s.alias("s"), (s + F.size("w")).alias("e"))
+            .select("row_key", "item", s.alias("s"), (s + F.size("w")).alias("e"))
         )
         found = got if found is None else found.unionByName(got)
     clean = F.array().cast("array<string>")
     if found is None:
         return scanned.select("row_key", "doc_id", "n_words", F.array().cast("array<struct<s:int,e:int>>").alias("spans"), clean.alias("items"))
-    key = ["row_key"] if blocks == 1 else ["doc_id"]  # blocks after the first find rows by id; rows that share an id share their text's verdict
     merged = F.expr(
         "aggregate(array_sort(sp), cast(array() as array<struct<s:int,e:int>>), (a, x) -> "
         "if(size(a) > 0 and element_at(a, -1).e >= x.s, "
         "concat(slice(a, 1, size(a) - 1), array(named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e)))), concat(a, array(x))))"
     )
-    per = found.groupBy(*key).agg(F.collect_set(F.struct("s", "e")).alias("sp"), F.array_sort(F.collect_set("item")).alias("items")).select(*key, merged.alias("spans"), "items")
-    return scanned.select("row_key", "doc_id", "n_words").join(per, key, "left").select("row_key", "doc_id", "n_words", F.coalesce("spans", F.array().cast("array<struct<s:int,e:int>>")).alias("spans"), F.coalesce("items", clean).alias("items"))
+    per = found.groupBy("row_key").agg(F.collect_set(F.struct("s", "e")).alias("sp"), F.array_sort(F.collect_set("item")).alias("items")).select("row_key", merged.alias("spans"), "items")
+    return scanned.select("row_key", "doc_id", "n_words").join(per, "row_key", "left").select("row_key", "doc_id", "n_words", F.coalesce("spans", F.array().cast("array<struct<s:int,e:int>>")).alias("spans"), F.coalesce("items", clean).alias("items"))
+
+
+def verdicts(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    return judged(decontaminate(docs, benchmark, block_chars=block_chars)).drop("row_key")
 
 
-def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    got = decontaminate(docs, benchmark)
+def judged(got: DataFrame) -> DataFrame:
     hit = F.expr("aggregate(spans, 0L, (a, x) -> a + (x.e - x.s))")
     return got.select(
-        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "row_key", "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
     ).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 

@@ -188,6 +188,17 @@ def test_decontamination(spark, docs, empty):
     assert op9_decontaminate.verdicts(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_in_blocks(spark):
+    rng = random.Random(11)
+    texts = [words(60, rng) for _ in range(12)]
+    bench = spark.createDataFrame([(i, " ".join(t.split()[:25])) for i, t in enumerate(texts[:6])], "item_id long, text string")
+    ids = [None, None, 7, 7, 7, 3, None, None, 7, 7, 3, 3]
+    docs = spark.createDataFrame([*zip(ids, texts), (7, texts[2] + " " + words(5, rng))], "doc_id long, text string")
+    one, many = listed(op9_decontaminate.verdicts(docs, bench)), listed(op9_decontaminate.verdicts(docs, bench, block_chars=150))
+    assert one == many and sum(r[5] for r in many) == 7
+    assert [r[2] for r in many if r[5]] == [25] * 7 and not any(r[2] for r in many if not r[5])
+
+
 def test_licenses(spark, docs, empty):
     got = {(r.doc_id, r.license): r.containment for r in op1_licenses.scan(docs, op1_licenses.templates(spark)).collect()}
     assert got == {(13, "LicenseRef-all-rights-reserved"): 1.0, (14, "MIT"): 1.0}
