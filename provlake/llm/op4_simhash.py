@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from provlake.llm.common import LOWER, cut, doc_columns, small, table
 from provlake.llm.graph import components
@@ -98,14 +99,18 @@ def links(fps: DataFrame, within: int = WITHIN, m: int = SEGMENTS, crowded: int
     return pairs.unionByName(stars.select("u", "v").where("u <> v")).distinct()
 
 
+def labels(prints: DataFrame, node: str) -> DataFrame:
+    """fp, component_id of each fingerprint: the smallest ``node`` of its component."""
+    # groups whose nodes are all null stay alone
+    fps = cut(prints.groupBy("fp").agg(F.min(node).alias("rep")).where("rep is not null"), "op4-distinct")
+    comp = components(links(fps))
+    return cut(fps.join(comp, fps["rep"] == comp["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "op4-labels")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id for every row."""
     prints = cut(fingerprints(docs), "op4-prints")
-    # a fingerprint's node is its smallest doc_id; groups whose ids are all null stay alone
-    fps = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "op4-distinct")
-    comp = components(links(fps))
-    label = cut(fps.join(comp, fps["rep"] == comp["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "op4-labels")
-    return prints.join(label, "fp", "left").select("doc_id", "fp", "component_id")
+    return prints.join(labels(prints, "doc_id"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,9 +118,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _beside(text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            got = np.array([fingerprint(t) for t in b.column(text).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "op4_fp"])
+
+    return run
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the row with the smallest doc_id of each component stays (one row, if rows repeat)."""
-    keep = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    # blank rows whose id is null have no component and stay
-    one = docs.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
-    return one.join(keep, "doc_id", "left_semi").select(docs.columns)
+    """Pipeline stage: one row of each component stays, that of the smallest doc_id; rows without an id come last."""
+    schema = StructType([*docs.schema.fields, StructField("op4_fp", LongType())])
+    # ids may be null or repeated: rows are told apart by a key written with the fingerprints
+    rows = cut(docs.mapInArrow(_beside(docs.columns.index("text")), schema).withColumn("op4_row", F.monotonically_increasing_id()), "op4-rows")
+    prints = rows.select(F.col("op4_fp").alias("fp"), F.col("op4_row").alias("row"), F.col("doc_id").alias("id"))
+    best = prints.join(labels(prints, "row"), "fp").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("m"))
+    return rows.join(best.select(F.col("m.row").alias("op4_row")), "op4_row", "left_semi").select(docs.columns)

@@ -170,6 +170,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: contaminated documents go, with any row of the same id."""
-    bad = verdicts(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: contaminated rows go, each judged by its own text."""
+    rows = cut(docs.withColumn("op9_row", F.monotonically_increasing_id()), "op9-docs")
+    bad = judged(decontaminate(rows, table(spark, sf_dir, "benchmark"), key="op9_row")).where("contaminated")
+    return rows.join(bad.select(F.col("row_key").alias("op9_row")), "op9_row", "left_anti").select(docs.columns)

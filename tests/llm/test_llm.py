@@ -383,3 +383,13 @@ def test_pipeline(spark, tmp_path):
     spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert 100 not in got and 5 not in got and 101 in got and len(got) == 60
+
+
+def test_stages_tell_rows_apart(spark, tmp_path):
+    rng = random.Random(12)
+    a, b, c, d, e = (words(80, rng) for _ in range(5))
+    docs = spark.createDataFrame([(None, a, 0), (1, b, 1), (1, c, 2), (2, c, 3), (None, d, 4), (None, d, 5), (3, d, 6), (None, e, 7), (None, e, 8)], "doc_id long, text string, row int")
+    kept = [r.row for r in op4_simhash.stage(spark, docs, str(tmp_path)).collect()]
+    assert sorted(x if x < 7 else 7 for x in kept) == [0, 1, 2, 6, 7] and op4_simhash.stage(spark, docs, str(tmp_path)).columns == docs.columns
+    spark.createDataFrame([(1, a), (2, c)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.row for r in op9_decontaminate.stage(spark, docs, str(tmp_path)).collect()) == [1, 4, 5, 6, 7, 8]
