@@ -2,13 +2,13 @@
 
 Only DataFrame functions are used.  A text's words (a-z, 0-9 runs of the lower-cased text) give
 five-word shingles, and shorter ones of the lengths of templates that have fewer words than five.
-Windows of WIDTH words start every STRIDE words, so each shingle lies whole in one of them at least.
+Windows of WIDTH words start every STRIDE words, so each shingle away from a text's ends lies whole in two of them.
 Their MinHash sketch is one permutation cut into 2**BIN_BITS bins by a hash's highest bits: a bin's value
 is the smallest shingle hash in it, and each bin is a band of one row.  A window that holds a template's
 shingle agrees with the template in that shingle's bin unless another of its (at most WIDTH per shingle
-length) shingles falls into the same bin with a smaller value: a chance of WIDTH / 2**BIN_BITS / 2 per
-length, under 1 % for two lengths.  One agreeing band in one window retrieves a template, so retrieval
-fails with a probability below 1 % for one-shingle templates and that to the power of n for n shingles.
+length) shingles falls into the same bin with a smaller value: a chance of at most WIDTH / 2**BIN_BITS / 2
+per length, under 2e-8 for two lengths.  One agreeing band in one window retrieves a template, so a
+one-shingle template's line is missed with a probability below 2e-8, and that squared where two windows hold it.
 
 Candidates are verified exactly: the share of the template's distinct shingles that stand within the
 template's length of the window, at least THRESHOLD (0.8).
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from provlake.llm.common import table
 
-SHINGLE, WIDTH, STRIDE, BIN_BITS, THRESHOLD = 5, 64, 56, 13, 0.8
+SHINGLE, WIDTH, STRIDE, BIN_BITS, THRESHOLD = 5, 64, 30, 32, 0.8
 TEMPLATE_LIMIT = 20_000
 
 #: Wordings of public licenses.

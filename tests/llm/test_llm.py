@@ -211,6 +211,13 @@ def test_licenses(spark, docs, empty):
     assert {(i, op1_licenses.TEMPLATES[i % 11][0]) for i in range(70)} <= found
 
 
+def test_licenses_of_one_shingle(spark):
+    rng = random.Random(13)
+    texts = [f"{words(100, rng)} {line} {words(100, rng)}" for _ in range(1500) for line in ["Released under the MIT License"]]
+    got = op1_licenses.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), op1_licenses.templates(spark)).collect()
+    assert {r.doc_id for r in got if r.license == "MIT"} == set(range(1500)) and all(r.n_places == 2 for r in got)
+
+
 def test_ann(spark):
     rng = np.random.RandomState(1)
     x = rng.normal(size=(400, 16)).astype(np.float32)
