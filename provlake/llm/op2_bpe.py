@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from provlake.llm.common import doc_columns, small, table
 
@@ -212,4 +213,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode(docs, output="digest")
+    """Pipeline stage: ids and decoded text of each document, and the digests derived from them."""
+    got = encode(docs, output="full")
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return got.withColumn("ids_sha256", F.sha2(joined, 256)).withColumn("decoded_sha256", F.sha2("decoded", 256))

@@ -400,3 +400,10 @@ def test_stages_tell_rows_apart(spark, tmp_path):
     assert sorted(x if x < 7 else 7 for x in kept) == [0, 1, 2, 6, 7] and op4_simhash.stage(spark, docs, str(tmp_path)).columns == docs.columns
     spark.createDataFrame([(1, a), (2, c)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert sorted(r.row for r in op9_decontaminate.stage(spark, docs, str(tmp_path)).collect()) == [1, 4, 5, 6, 7, 8]
+
+
+def test_bpe_stage(spark, docs):
+    full = sorted(op2_bpe.stage(spark, docs, "").collect(), key=lambda r: str(r.doc_id))
+    digest = sorted(op2_bpe.encode(docs, output="digest").collect(), key=lambda r: str(r.doc_id))
+    assert [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in full] == [tuple(r) for r in digest]
+    assert all(len(r.ids) == r.n_tokens for r in full) and any(r.decoded == PASSAGE for r in full)
