@@ -6,7 +6,7 @@ ends of both chunks are joined and encoded again, widening until both ends lie w
 own pre-tokenizer must break (a non-space before, a space after); there the encodings agree exactly.
 
 Inside a chunk the same rule splits pieces, and each distinct piece is given to the tokenizers library
-once per worker.  Both caches are bounded.  Text with white space beyond blank, tab, line feed and
+once while it is in the cache.  Both caches are bounded and start empty with every task.  Text with white space beyond blank, tab, line feed and
 return goes to the library whole, as the engines' ideas of white space differ there.
 
 Defined cases: a null text is encoded as an empty one; special tokens in a text are recognised as the
