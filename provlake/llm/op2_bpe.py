@@ -1,13 +1,15 @@
 """Byte-pair encoding and decoding with reuse of content-defined chunks.
 
-A rolling hash over the bytes cuts texts into chunks, so equal passages of different documents give
-equal chunks.  A chunk's inner part is encoded once and looked up after that.  Around each cut the open
-ends of both chunks are joined and encoded again, widening until both ends lie where the tokenizer's
-own pre-tokenizer must break (a non-space before, a space after); there the encodings agree exactly.
+A rolling hash over the bytes cuts texts into chunks, so equal passages of different documents give equal
+chunks.  A chunk is encoded and decoded once while a worker holds it; its outermost stretches, before the
+first and after the last of its safe breaks, stay open.  At every join of chunks the open stretches on both
+sides are put together and encoded again.  A join is widened until both of its ends lie on safe breaks:
+there the new encoding agrees exactly with that of the whole text, as the pre-tokenizer breaks at a space
+behind a non-space whatever stands around it.  A chunk without two safe breaks is taken into its joins.
 
-Inside a chunk the same rule splits pieces, and each distinct piece is given to the tokenizers library
-once while it is in the cache.  Both caches are bounded and start empty with every task.  Text with white space beyond blank, tab, line feed and
-return goes to the library whole, as the engines' ideas of white space differ there.
+All that a step of documents needs goes to the tokenizers library in one call.  The chunks that a worker
+holds are bounded by bytes and outlive a task where Spark reuses its workers; they are not shared between
+workers, as moving a chunk's ids costs more than encoding it again.
 
 Defined cases: a null text is encoded as an empty one; special tokens in a text are recognised as the
 library does; any length is taken whole; rows repeat as they came; an empty table stays empty.
@@ -23,15 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from provlake.llm.common import doc_columns, small, table
+from provlake.llm.common import doc_columns, small, steps, table
 
 #: White space on which regex engines agree; other kinds take the slow path.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-_PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 MASK_BITS, LEAST, MOST = 10, 256, 8192
-CHUNKS, PIECES = 5_000, 100_000
+#: Bytes of chunks, ids and decoded texts that a worker holds.
+HELD = 32 << 20
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -73,138 +74,126 @@ def cut_points(data: bytes, bits: int = MASK_BITS, least: int = LEAST, most: int
 _GEAR = np.random.RandomState(20240607).randint(0, 1 << 32, 256, dtype=np.uint32)
 
 
-class Memo(dict):
-    """Bounded: two generations, the older goes when the younger is full."""
-
-    def __init__(self, most: int) -> None:
-        super().__init__()
-        self.most, self.old = most, {}
-
-    def put(self, key, value):
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-    def find(self, key):
-        got = self.get(key)
-        if got is None and (got := self.old.get(key)) is not None:
-            self.put(key, got)
-        return got
+#: A space behind a character that no engine takes for white space.
+_SAFE = "(?<=[^ \t\n\r" + ODD_SPACE.pattern[1:-1] + "])(?=[ \t\n\r])"
+_FIRST, _LAST = re.compile(_SAFE), re.compile(".*" + _SAFE, re.S)
 
 
 class Codec:
-    """encode(text) gives pieces of (ids as text, decoded text); both strings join to the document's."""
+    """encode(texts) gives each whole text's ids and decoded text."""
 
-    def __init__(self, path: str, chunks: int = CHUNKS, pieces: int = PIECES) -> None:
+    def __init__(self, path: str, held: int = HELD) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.chunks, self.pieces = Memo(chunks), Memo(pieces)
+        self.most = held
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+        self.bytes = 0
+
+    def _find(self, chunk: str) -> tuple | None:
+        got = self.young.get(chunk)
+        if got is None and (got := self.old.get(chunk)) is not None:
+            self._hold(chunk, got)
+        return got
 
-    def _library(self, texts: list[str]) -> list[tuple[str, str]]:
+    def _hold(self, chunk: str, got: tuple) -> None:
+        """Two generations, each of half the bytes; the older one goes when the younger is full."""
+        self.young[chunk] = got
+        self.bytes += 5 * len(chunk) + 200
+        if self.bytes > self.most // 2:
+            self.old, self.young, self.bytes = self.young, {}, 0
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, str]]:
+        """(ids, decoded text) of whole documents."""
+        jobs: dict[str, int] = {}  # texts for the library, each once
+        plan: list[list] = []
+        here: dict[str, tuple] = {}
+        for text in texts:
+            parts, open_end = [], ""
+            for chunk in chunks(text or ""):
+                got = here.get(chunk) or self._find(chunk)
+                if got is None:
+                    first = _FIRST.search(chunk)
+                    cut = (first.start(), _LAST.match(chunk).end()) if first else (0, 0)
+                    # start, inner text, its encoding once it is made, end
+                    got = (chunk[: cut[0]], chunk[cut[0] : cut[1]], [], chunk[cut[1] :]) if cut[1] > cut[0] else (chunk, "", None, "")
+                here[chunk] = got
+                head, inner, made, tail = got
+                open_end += head
+                if made is None:
+                    continue  # the join reaches into the next chunk
+                if open_end:
+                    parts.append(jobs.setdefault(open_end, len(jobs)))
+                if not made:
+                    jobs.setdefault(inner, len(jobs))
+                parts.append(got)
+                open_end = tail
+            if open_end:
+                parts.append(jobs.setdefault(open_end, len(jobs)))
+            plan.append(parts)
+        ids = [e.ids for e in self.tok.encode_batch_fast(list(jobs), add_special_tokens=False)]
+        same = self.tok.decode_batch(ids, skip_special_tokens=False)
+        # a text that decodes to itself stands once in memory
+        done = [(np.array(i, np.int32), t if t == d else d) for i, t, d in zip(ids, jobs, same)]
+        for chunk, got in here.items():
+            if got[2] is not None and not got[2]:
+                got[2].append(done[jobs[got[1]]])
+            if chunk not in self.young:
+                self._hold(chunk, got)
         out = []
-        for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
-            out.append((",".join(map(str, e.ids)), self.tok.decode(e.ids, skip_special_tokens=False)))
+        for parts in plan:
+            pieces = [done[p] if isinstance(p, int) else p[2][0] for p in parts]
+            out.append((np.concatenate([p[0] for p in pieces]) if pieces else np.zeros(0, np.int32), "".join([p[1] for p in pieces])))
         return out
 
-    def span(self, text: str) -> tuple[str, str]:
-        """A text that begins and ends at breaks which hold in any context."""
-        if not text:
-            return "", ""
-        if ODD_SPACE.search(text):
-            return self._library([text])[0]
-        words = _PIECE.findall(text)
-        memo = self.pieces
-        got = [memo.get(w) for w in words]
-        if None in got:
-            miss = {w: None for w, g in zip(words, got) if g is None}
-            for w in list(miss):
-                if (g := memo.old.get(w)) is not None:
-                    miss[w] = g
-            new = [w for w, g in miss.items() if g is None]
-            for w, (ids, dec) in zip(new, self._library(new)):
-                miss[w] = (ids, w if dec == w else dec)  # one copy of a text that decodes to itself
-            for w, g in miss.items():
-                memo.put(w, g)
-            got = [g if g is not None else miss[w] for w, g in zip(words, got)]
-        return ",".join([g[0] for g in got]), "".join([g[1] for g in got])
-
-    def chunk(self, text: str) -> tuple[str, tuple[str, str] | None, str]:
-        """(open start, encoded inner part, open end); no inner part: all of it is open."""
-        had = self.chunks.find(text)
-        if had is not None:
-            return had
-        odd = ODD_SPACE.search(text)
-        breaks = [] if odd else [m.start() for m in _BREAK.finditer(text)]
-        if len(breaks) < 2:
-            got = (text, None, "")
-        else:
-            a, b = breaks[0], breaks[-1]
-            got = (text[:a], self.span(text[a:b]), text[b:])
-        return self.chunks.put(text, got)
-
-    def encode(self, text: str | None) -> tuple[str, str]:
-        """(ids joined by commas, decoded text) of a whole document."""
-        text = text or ""
-        if len(text) <= LEAST or ODD_SPACE.search(text):
-            return self.span(text)
-        data = text.encode("utf-8", "replace")
-        ids, dec, open_end, last = [], [], "", 0
-        for p in cut_points(data):
-            head, inner, tail = self.chunk(data[last:p].decode("utf-8"))
-            last = p
-            open_end += head
-            if inner is None:
-                continue  # the join reaches into the next chunk
-            for i, d in (self.span(open_end), inner):
-                if i:
-                    ids.append(i)
-                    dec.append(d)
-            open_end = tail
-        i, d = self.span(open_end)
-        if i:
-            ids.append(i)
-            dec.append(d)
-        return ",".join(ids), "".join(dec)
 
-    def ids(self, text: str | None) -> list[int]:
-        joined = self.encode(text)[0]
-        return [int(x) for x in joined.split(",")] if joined else []
+def chunks(text: str) -> list[str]:
+    """Content-defined chunks of a text; a short one is one chunk."""
+    if len(text) <= LEAST:
+        return [text] if text else []
+    data = text.encode("utf-8", "replace")
+    cuts = cut_points(data)
+    return [data[a:b].decode("utf-8") for a, b in zip([0, *cuts], cuts)]
+
+
+_CODECS: dict[str, Codec] = {}
 
 
-_BREAK = re.compile(r"(?<=[^ \t\n\r])(?=[ \t\n\r])")
+def codec_of(path: str) -> Codec:
+    """One for each worker process, whatever tasks it runs."""
+    if path not in _CODECS:
+        _CODECS[path] = Codec(path)
+    return _CODECS[path]
 
 
 def _worker(path: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
+        text = [str(i) for i in range(codec.tok.get_vocab_size() + 1)]
         sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
         for b in small(batches):
-            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a in range(0, len(docs), 256):
-                got = [codec.encode(t) for t in texts[a : a + 256]]
-                n = [i.count(",") + 1 if i else 0 for i, _ in got]
-                cols = [pa.array(docs[a : a + 256], pa.int64()), pa.array(n, pa.int64())]
-                if kind == "digest":
-                    cols += [pa.array([sha(i) for i, _ in got]), pa.array([sha(d) for _, d in got])]
-                else:
-                    cols += [pa.array([[int(x) for x in i.split(",")] if i else [] for i, _ in got], pa.list_(pa.int32())), pa.array([d for _, d in got])]
+            docs, texts = b.column(0), b.column(1).to_pylist()
+            for x, y in steps(texts):
+                got = codec.encode(texts[x:y])
+                cols = [docs.slice(x, y - x).cast(pa.int64()), pa.array([len(i) for i, _ in got], pa.int64())]
+                if kind == "full":
+                    cols += [pa.array([i for i, _ in got], pa.list_(pa.int32())), pa.array([d for _, d in got], pa.string())]
+                cols += [pa.array([sha(",".join([text[v] for v in i.tolist()])) for i, _ in got], pa.string()), pa.array([sha(d) for _, d in got], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=_NAMES[kind])
 
     return run
 
 
-_NAMES = {"digest": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "full": ["doc_id", "n_tokens", "ids", "decoded"]}
-_KINDS = {"digest": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "full": "doc_id long, n_tokens long, ids array<int>, decoded string"}
+_NAMES = {"digest": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "full": ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"]}
+_KINDS = {"digest": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "full": "doc_id long, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"}
 
 
 def encode(docs: DataFrame, path: str | None = None, output: str = "full") -> DataFrame:
-    """doc_id, n_tokens with ids and decoded text (``full``) or their SHA-256 (``digest``, made where the ids are)."""
+    """doc_id, n_tokens, ids and decoded text (``full`` only) and the SHA-256 of both, made where the ids are."""
     return doc_columns(docs).mapInArrow(_worker(path or vocabulary(), output), _KINDS[output])
 
 
@@ -213,7 +202,5 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: ids and decoded text of each document, and the digests derived from them."""
-    got = encode(docs, output="full")
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return got.withColumn("ids_sha256", F.sha2(joined, 256)).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    """Pipeline stage: ids and decoded text of each document, and their digests."""
+    return encode(docs)
