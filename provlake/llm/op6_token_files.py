@@ -1,12 +1,13 @@
 """Token-id files: ids of whole documents in ascending doc_id order, coded by ``range_coder``.
 
 File format: a row per segment (Parquet carries the rows).  A segment holds whole documents in order,
-about SEGMENT ids; its columns are the part and segment number, the documents' ids and lengths, and for
-each block its number of ids, CRC-32 and coded bytes.  Any block decodes alone.  Parts are ranges of
-doc_id, so part and segment order is document order; starts come from a running sum over parts.
+about SEGMENT ids; its columns are the part and segment number, the documents' ids and lengths, the
+segment's packed order-0 counts, and for each block its number of ids, CRC-32 and coded bytes.  Any block
+decodes alone, given those counts.  Parts are ranges of doc_id, so part and segment order is document
+order; starts come from a running sum over parts.
 
-Words between white space are given to the tokenizers library once per worker (bounded memory); texts
-with white space other than blank, tab, line feed and return go to it whole.
+Words between white space are given to the tokenizers library once while they are in a worker's bounded
+memo; texts with white space other than blank, tab, line feed and return go to it whole.
 
 Defined cases: a null text is encoded as an empty one and has the end id alone; rows that share a
 doc_id stand in the order of their texts' hashes, then texts, each with its own start; a null doc_id
@@ -16,6 +17,7 @@ comes first; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,73 +28,113 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provlake.llm import range_coder
-from provlake.llm.common import doc_columns, shared_dir, small, table
-from provlake.llm.op2_bpe import ODD_SPACE, Memo, vocabulary
+from provlake.llm.common import doc_columns, shared_dir, small, steps, table
+from provlake.llm.op2_bpe import ODD_SPACE, vocabulary
 
 END = 1
-SEGMENT = 4_000_000
+SEGMENT = 8_000_000
 PART_BYTES = 24 << 20
-_NAMES = ["doc_ids", "doc_lens", "block_lens", "block_crcs", "blocks"]
-_KINDS = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
-_SCHEMA = "doc_ids array<long>, doc_lens array<long>, block_lens array<long>, block_crcs array<long>, blocks array<binary>"
+_NAMES = ["doc_ids", "doc_lens", "prior", "block_lens", "block_crcs", "blocks"]
+_KINDS = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+_SCHEMA = "doc_ids array<long>, doc_lens array<long>, prior binary, block_lens array<long>, block_crcs array<long>, blocks array<binary>"
 
 
 class Tokens:
-    def __init__(self, path: str, words: int = 120_000) -> None:
+    """Ids by the tokenizers library: words that aren't in the bounded memo go to it together, joined by blanks."""
+
+    def __init__(self, path: str, words: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.memo = Memo(words)
+        vocab = self.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a piece of a word
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.most, self.young, self.old = words, {}, {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 16-bit ids."""
-        if not text:
-            return b""
-        if ODD_SPACE.search(text):
-            return self._library([text])[0]
-        words, memo = text.split(), self.memo
-        got = [memo.get(w) for w in words]
-        if None in got:
-            miss = {w: memo.old.get(w) for w, g in zip(words, got) if g is None}
-            new = [w for w, g in miss.items() if g is None]
-            miss.update(zip(new, self._library(new)))
-            for w, g in miss.items():
-                memo.put(w, g)
-            got = [g if g is not None else miss[w] for w, g in zip(words, got)]
-        return b"".join(got)
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  Plain words are encoded as one text and told apart by their numbers of pieces."""
+        plain = [w for w in words if _PLAIN(w) and "<|" not in w]
+        out = dict.fromkeys(words)
+        if plain:
+            ids = np.array(self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            pieces = np.cumsum([1 if w.isalpha() else len(_PIECES(w.lower())) for w in plain])
+            if len(ends) == pieces[-1]:
+                raw, at = ids.tobytes(), (2 * ends[pieces - 1]).tolist()
+                out.update(zip(plain, [raw[a:b] for a, b in zip([0, *at], at)]))
+        rest = [w for w, g in out.items() if g is None]
+        out.update(zip(rest, self._library(rest)))
+        return [out[w] for w in words]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 16-bit ids of each text."""
+        if len(self.young) > self.most:  # two generations of words: the older one goes
+            self.old, self.young = self.young, {}
+        young, old, whole, every = self.young, self.old, {}, set()
+        split = [() if not t else t.split() if not ODD_SPACE.search(t) else None for t in texts]
+        if odd := [i for i, w in enumerate(split) if w is None]:
+            whole = dict(zip(odd, self._library([texts[i] for i in odd])))
+        for w in split:
+            every.update(w or ())
+        miss = []
+        for w in every.difference(young):
+            if (got := old.get(w)) is None:
+                miss.append(w)
+            else:
+                young[w] = got
+        if miss:
+            young.update(zip(miss, self._words(miss)))
+        return [whole[i] if w is None else b"".join(map(young.__getitem__, w)) for i, w in enumerate(split)]
+
+
+#: Words on which the library's classes of characters are these: visible ASCII and the letters of Latin-1.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+#: The tokenizer's own pieces of a plain word in lower case.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
 
 def _writer(path: str, end: int, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, docs, lens, held, n = Tokens(path), [], [], [], 0
+        tokens, docs, lens, held, n = tokens_of(path), [], [], [], 0
         tail = np.array([end], "<u2").tobytes()
 
         def pack() -> pa.RecordBatch:
-            blocks, sizes, sums = range_coder.encode(np.frombuffer(b"".join(held), "<u2"))
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((docs, lens, sizes, sums, blocks), _KINDS)], names=_NAMES)
+            prior, blocks, sizes, sums = range_coder.encode(np.frombuffer(b"".join(held), "<u2"))
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((docs, lens, prior, sizes, sums, blocks), _KINDS)], names=_NAMES)
 
         for b in small(batches):
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = tokens.ids(t) + tail
-                docs.append(i)
-                lens.append(len(x) // 2)
-                held.append(x)
-                n += len(x) // 2
-                if n >= segment:
-                    yield pack()
-                    docs, lens, held, n = [], [], [], 0
+            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for x, y in steps(texts):
+                for i, got in zip(ids[x:y], tokens.ids(texts[x:y])):
+                    docs.append(i)
+                    lens.append(len(got) // 2 + 1)
+                    held.append(got + tail)
+                    n += lens[-1]
+                    if n >= segment:
+                        yield pack()
+                        docs, lens, held, n = [], [], [], 0
         if docs:
             yield pack()
 
     return run
 
 
+_TOKENS: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str) -> Tokens:
+    """One for each worker process: later tasks of a reused worker find the words of earlier ones."""
+    if path not in _TOKENS:
+        _TOKENS[path] = Tokens(path)
+    return _TOKENS[path]
+
+
 def write_files(docs: DataFrame, target: str, path: str | None = None, end: int = END, segment: int = SEGMENT, parts: int | None = None) -> None:
     """Write the files of ``docs`` (doc_id, text) under ``target``."""
     spark = docs.sparkSession
@@ -108,8 +150,8 @@ def write_files(docs: DataFrame, target: str, path: str | None = None, end: int
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in range(b.num_rows):
-            start, docs, lens, sizes, sums, blocks = (b.column(i)[row].as_py() for i in range(6))
-            ids = range_coder.decode(blocks, sizes, sums)
+            start, docs, lens, prior, sizes, sums, blocks = (b.column(i)[row].as_py() for i in range(7))
+            ids = range_coder.decode(prior, blocks, sizes, sums)
             cuts = np.concatenate(([0], np.cumsum(lens, dtype=np.int64))).tolist()
             raw = memoryview(ids.tobytes())
             crcs = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(cuts, cuts[1:])]

@@ -1,14 +1,17 @@
 """An adaptive context-mixing range coder for token ids, many independent blocks in step.
 
-Each block starts from the same state, so any block decodes alone.  An id is coded as one symbol of a
-small alphabet: it equals the id that followed the last two ids before (order 2), or the one that
-followed the last id (order 1), or it lies in one of CLASSES ranges of ids.  Three adaptive counts are
-mixed for that symbol: without context (order 0), by the last symbol (order 1), and by the last
-symbol, whether the one before was a hit, and whether the two predicted ids agree (order 2).  Within a class the id's place is coded
-evenly.  Coding is by a carry-less range coder with 64-bit bounds and 16-bit output.
-
-Blocks have BLOCK ids (the last of a segment fewer) and a CRC-32 of their ids.  numpy runs one step of
-all blocks of a group at once; nothing is shared between blocks, so groups may have any size.
+The distribution of the next id is a mixture of three predictions: the id that followed the last two ids
+before (order 2), the one that followed the last id (order 1), and a distribution over all ids (order 0).
+The order-0 ids stand in two classes, common and rare ones, so there are four shares: order 2, order 1,
+common, rare.  Two adaptive models give the shares, one by how often the two predictions were right
+before and whether they agree, one by which shares the last two ids fell to; each block's weight between
+the two moves towards the one that gave the coded share more.  Within a class an id takes its part of the
+segment's order-0 counts (``Prior``), which stand once in front of the blocks.
+
+Blocks have about BLOCK ids and a CRC-32 of them.  Every block starts from the same state, the prior and
+even shares, so any block decodes alone.  numpy runs one step of all blocks of a group at once; nothing is
+shared between blocks, so groups may have any size.  The coder has a 64-bit low end with carries into
+the words written before, and writes 32 bits at a time.
 """
 
 from __future__ import annotations
@@ -18,157 +21,239 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-LANES = 4096
-_EDGES = np.array([0, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536], np.int64)
-CLASSES = len(_EDGES) - 1
-SYMBOLS = CLASSES + 2
-_CLASS = (np.searchsorted(_EDGES, np.arange(65536), side="right") - 1).astype(np.int64)
-#: By symbol: first id and number of ids that it leaves open (one for a predicted id).
-_FIRST = np.concatenate(([0, 0], _EDGES[:-1])).astype(np.uint64)
-_SIZE = np.concatenate(([1, 1], np.diff(_EDGES))).astype(np.uint64)
-_STEP, _HALVE = 16.0, 128
-_TOP, _BOT, _REST = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64((1 << 32) - 1)
-_H1, _H2 = 9, 11
-#: Counts times this matrix are cumulative counts (exact in single precision: they stay below 2**16).
-_SUMS = np.tril(np.ones((SYMBOLS + 1, SYMBOLS), np.float32), -1)
+LANES = 2048
+#: Bits of a class's total; of the shares' total; of the tables of predictions; rate of the shares.
+_WIDE, _PART, _H1, _H2, _RATE = 18, 15, 9, 10, 5
+#: Four 16-bit shares stand in one 64-bit word: their sum in each model, and its even start.
+_SUM = 8064
+_EVEN = np.uint64(sum((_SUM // 4) << (16 * i) for i in range(4)))
+_GAIN = np.array([(_SUM >> _RATE) << (16 * i) for i in range(4)], np.uint64)
+
+
+def _u(x: int) -> np.ndarray:
+    """An operand without dimensions: numpy takes it faster than a number."""
+    return np.array(x, np.uint64)
+
+
+_KEEP, _ONES, _FIELD = _u(sum((0xFFFF >> _RATE) << (16 * i) for i in range(4))), _u(0x0001000100010001), _u(0xFFFF)
+_U4, _U5, _U16, _U32, _UPART, _URATE, _LIMIT = _u(4), _u(5), _u(16), _u(32), _u(_PART), _u(_RATE), _u(1 << 32)
+_I2, _I3, _I5, _I7, _I12, _I16 = (np.array(i) for i in (2, 3, 5, 7, 12, 16))
+_M1, _M2, _MUL = np.array((1 << _H1) - 1), np.array((1 << _H2) - 1), np.array(40503)
+_W2, _W3, _W4 = (np.array(i, np.uint32) for i in (2, 3, 4))
+#: How often a prediction was right, after it met an id (4: it was wrong).
+_NEXT = np.array([1, 2, 3, 3, 0], np.uint32)
+#: How far an id's place within its class narrows the range, by share.
+_NARROW = np.array([0, 0, _WIDE, _WIDE], np.uint64)
+_STEP = 8  # the models' weights move every so many ids
+
+
+class Prior:
+    """Order-0 counts of a segment: class, start and size of each id, and the id at each place of a class."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        self.counts = counts
+        ids = np.flatnonzero(counts)
+        order = ids[np.argsort(-counts[ids], kind="stable")]
+        mass = np.cumsum(counts[order])
+        half = int(np.searchsorted(mass, mass[-1] / 2)) + 1 if len(order) else 0
+        # four tables in one: ids that neither prediction gives, then those of order 1, order 2 and both
+        self.share = np.repeat([2, 1, 0, 0], 65536)
+        self.start, self.size = np.zeros(4 * 65536, np.uint64), np.ones(4 * 65536, np.uint64)
+        self.at = np.zeros(2 << _WIDE, np.int64)
+        for k, part in enumerate((np.sort(order[:half]), np.sort(order[half:]))):
+            if not len(part):
+                continue
+            c = counts[part].astype(np.float64)
+            size = np.maximum(1, np.floor(c * ((1 << _WIDE) - len(part)) / c.sum())).astype(np.int64)
+            size[int(np.argmax(size))] += (1 << _WIDE) - int(size.sum())
+            self.share[part], self.size[part] = 2 + k, size
+            self.start[part] = np.cumsum(size) - size
+            self.at[k << _WIDE : (k + 1) << _WIDE] = np.repeat(part, size)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Prior:
+        return cls(np.bincount(ids, minlength=65536)[:65536])
+
+    def pack(self) -> bytes:
+        """Gaps between the ids that occur, then their counts, each in byte planes."""
+        ids = np.flatnonzero(self.counts)
+        gaps, counts = np.diff(ids, prepend=0).astype("<u4"), self.counts[ids].astype("<u4")
+        planes = np.concatenate([x.view(np.uint8).reshape(-1, 4).T.ravel() for x in (gaps, counts)]) if len(ids) else np.zeros(0, np.uint8)
+        return zlib.compress(planes.tobytes(), 9)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Prior:
+        planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, 4, -1)
+        gaps, counts = (np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes)
+        full = np.zeros(65536, np.int64)
+        full[np.cumsum(gaps)] = counts
+        return cls(full)
 
 
 class _Model:
-    def __init__(self, lanes: int) -> None:
-        n = self.n = lanes
+    """Predictions and shares of n blocks; one step for all of them at a time."""
+
+    def __init__(self, n: int) -> None:
         self.lane = np.arange(n)
         self.at1, self.at2 = self.lane << _H1, self.lane << _H2
-        self.p1, self.p2 = np.zeros(n << _H1, np.uint16), np.zeros(n << _H2, np.uint16)
-        self.c0 = np.ones((n, SYMBOLS), np.float32)
-        self.c1 = np.ones((n * SYMBOLS, SYMBOLS), np.float32)
-        self.c2 = np.ones((n * SYMBOLS * 4, SYMBOLS), np.float32)
-        self.own0, self.own1, self.own2 = self.lane * SYMBOLS, self.lane * SYMBOLS, self.lane * (4 * SYMBOLS)
-        self.last = np.zeros(n, np.int64)
-        self.sym, self.was, self.k2 = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.t = 0
-
-    def predict(self) -> np.ndarray:
-        """Cumulative counts: a row for each symbol and one for the total, a column per lane."""
-        self.i1 = self.at1 + (self.last * 40503 >> 4 & ((1 << _H1) - 1))
-        self.i2 = self.at2 + self.k2
-        self.g1, self.g2 = self.p1.take(self.i1, mode="clip").astype(np.int64), self.p2.take(self.i2, mode="clip").astype(np.int64)
-        self.r1 = self.own1 + self.sym
-        self.r2 = self.own2 + 4 * self.sym + 2 * (self.was < 2) + (self.g1 == self.g2)
-        mixed = self.c1.take(self.r1, axis=0, mode="clip")
-        mixed += self.c2.take(self.r2, axis=0, mode="clip")
-        mixed += self.c0
-        return (_SUMS @ mixed.T).astype(np.uint64)
-
-    def update(self, ids: np.ndarray, sym: np.ndarray) -> None:
-        for c, r in ((self.c0, self.own0), (self.c1, self.r1 * SYMBOLS), (self.c2, self.r2 * SYMBOLS)):
-            flat, at = c.reshape(-1), r + sym
-            flat[at] = flat.take(at, mode="clip") + np.float32(_STEP)
-        self.p1[self.i1] = ids
-        self.p2[self.i2] = ids
-        self.k2 = (self.last * 29 + ids * 1103 >> 2) & ((1 << _H2) - 1)
-        self.last, self.was, self.sym = ids, self.sym, sym
-        self.t += 1
-        if self.t % _HALVE == 0:
-            for c in (self.c0, self.c1, self.c2):
-                np.floor(c * np.float32(0.5), out=c)
-                np.maximum(c, 1, out=c)
+        self.t1, self.t2 = np.zeros(n << _H1, np.uint32), np.zeros(n << _H2, np.uint32)
+        self.a, self.b = np.full(n * 16, _EVEN), np.full(n * 16, _EVEN)
+        self.own = self.lane * 16
+        self.hash = np.zeros(n, np.int64)
+        self.place1, self.place2, self.in_b = self.at1, self.at2, self.own
+        self.was, self.t = np.zeros(n, np.int64), 0
+        self.score, self.weight, self.other = np.zeros(n, np.int64), np.full(n, 2, np.uint64), np.full(n, 2, np.uint64)
+
+    def predict(self) -> None:
+        self.e1, self.e2 = self.t1.take(self.place1, mode="clip"), self.t2.take(self.place2, mode="clip")
+        self.in_a = ((self.e1 & _W3) + ((self.e2 & _W3) << _W2)).astype(np.int64)
+        self.in_a += self.own
+        self.pa, self.pb = self.a.take(self.in_a, mode="clip"), self.b.take(self.in_b, mode="clip")
+        self.p = self.pa * self.weight
+        self.p += self.pb * self.other
+        self.sums = self.p * _ONES
 
+    def bounds(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Low end and size of each block's share."""
+        self.move = share.view(np.uint64) << _U4
+        size = self.p >> self.move
+        size &= _FIELD
+        low = self.sums >> self.move
+        low &= _FIELD
+        low -= size
+        return low, size
 
-def _narrow(low: np.ndarray, rng: np.ndarray, cum: np.ndarray, lane: np.ndarray, sym: np.ndarray, r: np.ndarray):
-    """Bounds after a symbol; r: the range of one count."""
-    n = len(lane)
-    flat, at = cum.reshape(-1), sym * n + lane
-    a = flat.take(at, mode="clip")
-    return low + r * a, r * (flat.take(at + n, mode="clip") - a)
+    def update(self, ids: np.ndarray, four: np.ndarray, share: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> None:
+        """``four``: ids times four; ``d1``, ``d2``: what sets the predictions' entries apart from it."""
+        self.t += 1
+        if self.t % _STEP == 0:
+            better = (self.pa >> self.move & _FIELD).view(np.int64) - (self.pb >> self.move & _FIELD).view(np.int64)
+            self.score += better - (self.score >> _I3)
+            self.weight = np.minimum(np.maximum((self.score >> _I12) + _I2, 1), 3).view(np.uint64)
+            self.other = _U4 - self.weight
+        gain = _GAIN.take(share, mode="clip")
+        for table, at, p in ((self.a, self.in_a, self.pa), (self.b, self.in_b, self.pb)):
+            loss = p >> _URATE
+            loss &= _KEEP
+            p -= loss
+            p += gain
+            table[at] = p
+        for table, at, d in ((self.t1, self.place1, d1), (self.t2, self.place2, d2)):
+            new = _NEXT.take(np.minimum(d, _W4), mode="clip")
+            new += four
+            table[at] = new
+        own = ids * _MUL
+        self.place1 = own >> _I5
+        self.place1 &= _M1
+        self.place1 += self.at1
+        self.hash >>= _I3
+        self.hash += own
+        self.place2 = self.hash >> _I7
+        self.place2 &= _M2
+        self.place2 += self.at2
+        self.hash = own
+        self.was <<= _I2
+        self.was &= _I12
+        self.was += share
+        self.in_b = self.was + self.own
 
 
-def _encode_group(ids: np.ndarray, length: np.ndarray) -> list[bytes]:
-    """ids: lanes x steps, int64; rows end with zeros from ``length`` on."""
+def _encode_group(ids: np.ndarray, length: np.ndarray, prior: Prior) -> list[bytes]:
+    """ids: lanes x steps; rows end with any id from ``length`` on."""
     n, steps = ids.shape
     m = _Model(n)
     low, rng = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-    out = np.zeros((n, 3 * steps + 8), np.uint16)
-    flat, at, end = out.reshape(-1), m.lane * out.shape[1], np.zeros(n, np.int64)
+    out = np.zeros((n, steps + 4), np.uint32)
+    flat, at, done = out.reshape(-1), m.lane * out.shape[1], [b""] * n
     columns = np.ascontiguousarray(ids.T)
-    kinds = _CLASS[columns] + 2
     ends = set(length.tolist())
+
+    def carry(over: np.ndarray) -> None:
+        k = at[over] - 1
+        while len(k):
+            flat[k] += 1
+            k = k[flat[k] == 0] - 1
+
     for t in range(steps):
-        x = columns[t]
-        cum = m.predict()
-        sym = np.where(x == m.g1, 1, kinds[t])
-        sym[x == m.g2] = 0
-        low, rng = _narrow(low, rng, cum, m.lane, sym, rng // cum[SYMBOLS])
-        r = rng // _SIZE.take(sym, mode="clip")
-        low += r * np.where(sym >= 2, x.astype(np.uint64) - _FIRST.take(sym, mode="clip"), np.uint64(0))
-        rng = r
-        while True:
-            small = rng < _BOT
-            same = (low ^ (low + rng)) < _TOP
-            emit = same | small
-            if not emit.any():
-                break
-            small &= ~same
-            if small.any():
-                rng = np.where(small, (np.uint64(0) - low) & _REST, rng)
-            flat[at] = low >> np.uint64(48)  # kept only where the place moves on
-            at += emit
-            shift = emit.astype(np.uint64) << np.uint64(4)
-            low <<= shift
-            rng <<= shift
-        m.update(x, sym)
-        if t + 1 in ends:  # these lanes' bytes end here: four words fix their state
-            fin = np.flatnonzero(length == t + 1)
-            for j in range(4):
-                flat[at[fin] + j] = low[fin] >> np.uint64(48 - 16 * j)
-            end[fin] = at[fin] + 4 - fin * out.shape[1]
-            at[fin] += 4
-    return [out[i, : end[i]].tobytes() for i in range(n)]
-
-
-def _decode_group(data: list[bytes], length: np.ndarray) -> np.ndarray:
+        x = columns[t].astype(np.int64)
+        four = columns[t].astype(np.uint32) << _W2
+        m.predict()
+        d1, d2 = m.e1 ^ four, m.e2 ^ four
+        kind = (d2 < _W4).view(np.uint8) << 1
+        kind |= (d1 < _W4).view(np.uint8)
+        place = kind.astype(np.int64)
+        place <<= _I16
+        place += x
+        share = prior.share.take(place, mode="clip")
+        a, size = m.bounds(share)
+        r = rng >> _UPART
+        rng = r * size
+        a *= r
+        r = rng >> _NARROW.take(share, mode="clip")
+        a += r * prior.start.take(place, mode="clip")
+        rng = r * prior.size.take(place, mode="clip")
+        low += a
+        over = low < a
+        if over.any():
+            carry(np.flatnonzero(over))
+        flat[at] = (low >> _U32).astype(np.uint32)  # kept only where the place moves on
+        small = rng < _LIMIT
+        at += small.view(np.uint8)
+        shift = small.astype(np.uint64)
+        shift <<= _U5
+        low <<= shift
+        rng <<= shift
+        m.update(x, four, share, d1, d2)
+        if t + 1 in ends:  # these lanes end here: two words fix their state
+            for i in np.flatnonzero(length == t + 1).tolist():
+                words = out[i, : at[i] - i * out.shape[1]]
+                done[i] = words.astype("<u4").tobytes() + np.array([low[i] >> _U32, low[i] & (_LIMIT - _u(1))], "<u4").tobytes()
+    return done
+
+
+def _decode_group(data: list[bytes], length: np.ndarray, prior: Prior) -> np.ndarray:
     n, steps = len(data), int(length.max(initial=0))
     m = _Model(n)
-    wide = max((len(d) for d in data), default=0) // 2 + 4
-    words = np.zeros((n, wide), np.uint16)
+    wide = max((len(d) for d in data), default=0) // 4 + 2
+    words = np.zeros((n, wide), np.uint32)
     for i, d in enumerate(data):
-        words[i, : len(d) // 2] = np.frombuffer(d, np.uint16)
-    flat, at, top = words.reshape(-1), m.lane * wide, (m.lane + 1) * wide - 1
-    low, rng = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-    code = np.zeros(n, np.uint64)
-    for _ in range(4):
-        code = code << np.uint64(16) | flat[at]
-        at += 1
-    out = np.zeros((steps, n), np.int64)
-    one = np.uint64(1)
+        words[i, : len(d) // 4] = np.frombuffer(d, "<u4")
+    flat, at, end = words.reshape(-1), m.lane * wide + 2, (m.lane + 1) * wide - 1
+    rng = np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
+    code = words[:, 0].astype(np.uint64) << _U32 | words[:, 1]  # less the low end, from here on
+    out = np.zeros((steps, n), np.uint16)
+    top = _u((1 << _WIDE) - 1)
     for t in range(steps):
-        cum = m.predict()
-        total = cum[SYMBOLS]
-        r = rng // total
-        v = np.minimum((code - low) // r, total - one)
-        sym = (cum[1:SYMBOLS] <= v).sum(0)
-        low, rng = _narrow(low, rng, cum, m.lane, sym, r)
-        size = _SIZE.take(sym, mode="clip")
-        r = rng // size
-        v = np.minimum((code - low) // np.maximum(r, one), size - one)
-        low += r * v
-        rng = r
-        x = (_FIRST.take(sym, mode="clip") + v).astype(np.int64)
-        x = np.where(sym >= 2, x, np.where(sym == 0, m.g2, m.g1))
-        while True:
-            small = rng < _BOT
-            same = (low ^ (low + rng)) < _TOP
-            emit = same | small
-            if not emit.any():
-                break
-            small &= ~same
-            if small.any():
-                rng = np.where(small, (np.uint64(0) - low) & _REST, rng)
-            shift = emit.astype(np.uint64) << np.uint64(4)
-            code = np.where(emit, code << np.uint64(16) | flat.take(np.minimum(at, top), mode="clip"), code)
-            at += emit
-            low <<= shift
-            rng <<= shift
-        m.update(x, sym)
+        m.predict()
+        r = rng >> _UPART
+        v = code // r
+        share = (v >= (m.sums & _FIELD)).astype(np.int64)
+        share += (v >= (m.sums >> _U16 & _FIELD)).view(np.uint8)
+        share += (v >= (m.sums >> _U32 & _FIELD)).view(np.uint8)
+        a, size = m.bounds(share)
+        a *= r
+        code -= a
+        rng = r * size
+        r = rng >> _NARROW.take(share, mode="clip")
+        # a share of class 0 or 1 leaves a place in the class, one of a prediction its id
+        v = np.minimum(code // np.maximum(r, _u(1)), top).view(np.int64)
+        v += (share & 1) << _WIDE
+        x = prior.at.take(v, mode="clip")
+        hit = share < _I2
+        if hit.any():
+            x = np.where(hit, np.where(share == 0, m.e2, m.e1) >> _W2, x)
+        place = x + (hit.astype(np.int64) << 17)
+        code -= r * prior.start.take(place, mode="clip")
+        rng = r * prior.size.take(place, mode="clip")
+        small = rng < _LIMIT
+        shift = small.astype(np.uint64)
+        shift <<= _U5
+        rng <<= shift
+        code <<= shift
+        code |= flat.take(np.minimum(at, end), mode="clip") * small
+        at += small.view(np.uint8)
+        four = x.astype(np.uint32) << _W2
+        m.update(x, four, share, m.e1 ^ four, m.e2 ^ four)
         out[t] = x
     return out.T
 
@@ -179,31 +264,31 @@ def _groups(blocks: int):
     return zip(cuts, cuts[1:])
 
 
-def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[list[bytes], list[int], list[int]]:
-    """Payload, number of ids and CRC-32 of each block of ``ids`` (0 to 65535)."""
+def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[bytes, list[bytes], list[int], list[int]]:
+    """The packed prior, and payload, number of ids and CRC-32 of each block of ``ids`` (0 to 65535)."""
     n = len(ids)
-    blocks = -(-n // block)
-    length = np.full(blocks, block, np.int64)
-    if blocks:
-        length[-1] = n - (blocks - 1) * block
-    flat = np.zeros(blocks * block, np.int64)
-    flat[:n] = ids
-    if n and (flat.max() > 0xFFFF or flat.min() < 0):
+    if n and (int(ids.max()) > 0xFFFF or int(ids.min()) < 0):
         raise ValueError("ids must lie in 0 .. 65535")
-    flat = flat.reshape(blocks, block)
+    prior = Prior.of(ids)
+    blocks = -(-n // block)
+    cuts = [n * i // blocks for i in range(blocks + 1)] if blocks else [0]
+    length = np.diff(np.array(cuts, np.int64))
     out: list[bytes] = []
+    sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cuts, cuts[1:])]
     for a, b in _groups(blocks):
-        out += _encode_group(flat[a:b, : length[a:b].max()], length[a:b])
-    sums = [zlib.crc32(flat[i, : length[i]].astype("<u4").tobytes()) for i in range(blocks)]
-    return out, length.tolist(), sums
+        rows = np.zeros((b - a, int(length[a:b].max())), np.uint16)
+        for i in range(a, b):
+            rows[i - a, : length[i]] = ids[cuts[i] : cuts[i + 1]]
+        out += _encode_group(rows, length[a:b], prior)
+    return prior.pack(), out, length.tolist(), sums
 
 
-def decode(payload: list[bytes], length: list[int], sums: list[int]) -> np.ndarray:
+def decode(prior: bytes, payload: list[bytes], length: list[int], sums: list[int]) -> np.ndarray:
     """The ids of the blocks, one after the other; a block with a wrong checksum is an error."""
-    out: list[np.ndarray] = []
+    out, known = [], Prior.unpack(prior)
     for a, b in _groups(len(payload)):
         size = np.array(length[a:b], np.int64)
-        got = _decode_group(payload[a:b], size)
+        got = _decode_group(payload[a:b], size, known)
         for i in range(b - a):
             ids = got[i, : size[i]].astype("<u4")
             if zlib.crc32(ids.tobytes()) != sums[a + i]:
