@@ -8,8 +8,8 @@ are the article: those that such runs cover whole are dropped, but its h1 stays,
 more than half of it is covered, as copied articles are still articles.  A page without such an element
 keeps the unique runs of its remaining blocks.
 
-Hosts are dealt in parts of about PART pages by a hash of the page, so a host of any size makes tasks of
-bounded size.  The evidence is the whole host's: each part of a host of several sends the keys of its
+Hosts are dealt in parts of about PART bytes of html by a hash of the page, so a host of any size makes
+tasks of bounded size; a page's blocks travel deflated.  The evidence is the whole host's: each part of a host of several sends the keys of its
 distinct runs with their numbers of pages, the numbers are added up over the parts in slices of the keys,
 and each part gets back those of its keys that stand on PAGES pages of the host.  A key has KEY_BITS
 bits, so two different runs of a host of 10 million runs share one with a chance of 4e-8 for each run.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from provlake.llm.common import cut, mix, small, table
 from provlake.llm.fm_index import suffix_order
 
-RUN, PAGES, PART = 6, 3, 300
+RUN, PAGES, PART = 6, 3, 6 << 20
 #: Bits of a run's key (whole bytes); parts whose keys one slice holds.
 KEY_BITS, SLICE = 48, 8
 
@@ -268,7 +269,7 @@ def page_text(stream: list[list[str]], kinds: list[int], kept: list[tuple[list[s
     return "\n".join(" ".join(stream[i]) for i in art if i not in gone)
 
 
-_DEALT = "page_id long, url string, blocks array<string>, kinds array<tinyint>"
+_DEALT = "page_id long, url string, body binary, kinds binary"
 _KEYS_DDL = "host string, part long, slice int, keys binary"
 _KEYS = pa.schema([("host", pa.string()), ("part", pa.int64()), ("slice", pa.int32()), ("keys", pa.binary())])
 _TEXT = "page_id long, url string, text string"
@@ -281,14 +282,15 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = blocks(page)
             art = article(found)
             inside = set(art or ())
-            texts.append([t for t, *_ in found])
-            kinds.append([(TITLE if h1 else ARTICLE) if i in inside else LOOSE if art is None and not bad else SPARE for i, (_, _, bad, h1) in enumerate(found)])
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(texts, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int8()))], names=["page_id", "url", "blocks", "kinds"])
+            texts.append(zlib.compress("\n".join([t for t, *_ in found]).encode("utf-8", "replace"), 6))
+            kinds.append(bytes([(TITLE if h1 else ARTICLE) if i in inside else LOOSE if art is None and not bad else SPARE for i, (_, _, bad, h1) in enumerate(found)]))
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(texts, pa.binary()), pa.array(kinds, pa.binary())], names=["page_id", "url", "body", "kinds"])
 
 
 def _streams(rows: pa.Table) -> tuple[list, list, list]:
     ids, urls = rows["page_id"].to_pylist(), rows["url"].to_pylist()
-    return ids, urls, [[t.split(" ") for t in page] for page in rows["blocks"].to_pylist()]
+    pages = [zlib.decompress(x).decode("utf-8") for x in rows["body"].to_pylist()]
+    return ids, urls, [[t.split(" ") for t in page.split("\n")] if page else [] for page in pages]
 
 
 def _evidence(rows: pa.Table) -> pa.Table:
@@ -328,7 +330,7 @@ def extract(pages: DataFrame, part: int = PART) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit(""))
-    sizes = cut(base.groupBy(host.alias("host")).agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / part).alias("parts")), "op7-hosts")
+    sizes = cut(base.groupBy(host.alias("host")).agg(F.sum(F.octet_length("html")).alias("n")).select("host", F.greatest(F.ceil(F.coalesce("n", F.lit(0)) / part), F.lit(1)).alias("parts")), "op7-hosts")
     streams = base.mapInArrow(_parse, _DEALT).withColumn("host", host)
     dealt = streams.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
     # both uses of the dealt pages read one shuffle
