@@ -21,14 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see; a temporary one only where the session names none (tests)."""
+    """The folder that all executors see; a temporary one only where the session names none and is local (tests)."""
     got = spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         got = "file://" + tempfile.mkdtemp(prefix="provlake-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the table has it."""
+    had = {c.lower() for c in df.columns}
+    while name.lower() in had:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write and reread: later jobs start from files that survive a lost executor."""
     spark = df.sparkSession
