@@ -30,13 +30,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm.common import SPACES, Words, cut, drop_cut, give_back, gram_hashes, mix, small, steps, table
+from provlake.llm.common import SPACES, Words, cut, drop_cut, free_name, give_back, gram_hashes, mix, small, steps, table
 from provlake.llm.fm_index import FMIndex, repeated_windows
 
 WINDOW, SHINGLE = 35, 8
-CROWDED = 1000
+CROWDED = 500
 #: Words that one shard's index holds, about.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 40_000
 
 
 def _sliding(x: np.ndarray, width: int, f) -> np.ndarray:
@@ -228,56 +228,73 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
     cover = cut(full.unionByName(cold).unionByName(hot), "op3-cover")
     got = cand.select("doc_key", "key", "print", "start").join(cover, ["key", "print"])
     move = F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e")))
-    spans = cut(got.groupBy("doc_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(move)))).alias("spans")), "op3-spans")
+    spans = cut(got.groupBy("doc_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(move)))).alias("spans")), "op3-spans")
     drop_cut(twice, cand, segs, per, need, texts, cover)
     return spans, [spans]
 
 
-def _remover(kind: str):
+def _kept(text: str | None, spans: list[dict] | None) -> tuple[int, int, bytes]:
+    """Number of words, of removed ones, and the kept ones."""
+    words = (text or "").encode("utf-8", "replace").split()
+    n = len(words)
+    if spans:
+        part, last = [], 0
+        for s, e in merge([(x["s"], x["e"]) for x in spans]):
+            part += words[last:s]
+            last = e
+        words = part + words[last:]
+    return n, n - len(words), b" ".join(words)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in small(batches):
+        got = [_kept(t, s) for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([hashlib.sha256(g[2]).hexdigest() for g in got], pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+        )
+
+
+def _texts(names: list[str]):
+    """Columns ``names`` of a batch whose last column holds the spans; n_chars follows a text that changed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = names.index("text")
         for b in small(batches):
-            texts, spans = b.column(b.schema.get_field_index("text")).to_pylist(), b.column(b.schema.get_field_index("spans")).to_pylist()
-            kept, n, gone = [], [], []
-            for t, sp in zip(texts, spans):
-                words = (t or "").encode("utf-8", "replace").split()
-                n.append(len(words))
-                if sp:
-                    part, last = [], 0
-                    for s, e in merge([(x["s"], x["e"]) for x in sp]):
-                        part += words[last:s]
-                        last = e
-                    words = part + words[last:]
-                gone.append(n[-1] - len(words))
-                kept.append(b" ".join(words))
-            if kind == "digest":
-                cols = [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-            else:
-                new = [k.decode("utf-8") if g else t for k, g, t in zip(kept, gone, texts)]
-                cols = {f.name: b.column(i) for i, f in enumerate(b.schema) if f.name != "spans"}
-                cols["text"] = pa.array(new, b.schema.field("text").type)
-                if "n_chars" in cols:
-                    size = pa.compute.utf8_length(cols["text"]).cast(pa.int64())
-                    cols["n_chars"] = pa.compute.if_else(pa.array([g > 0 for g in gone]), size, cols["n_chars"])
-                yield pa.RecordBatch.from_pydict(cols)
+            texts = b.column(at).to_pylist()
+            got = [_kept(t, s) for t, s in zip(texts, b.column(len(names)).to_pylist())]
+            cols = list(b.columns[: len(names)])
+            cols[at] = pa.array([k.decode("utf-8") if gone else t for t, (_, gone, k) in zip(texts, got)], b.schema.field(at).type)
+            if "n_chars" in names:
+                n = names.index("n_chars")
+                size = pa.compute.utf8_length(cols[at]).cast(cols[n].type)
+                cols[n] = pa.compute.if_else(pa.array([gone > 0 for _, gone, _ in got], pa.bool_()), size, cols[n])
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """The table with its texts' repeated stretches removed (kept words joined by blanks; others unchanged)."""
-    return _joined(docs, docs, **options).mapInArrow(_remover("text"), docs.schema)
+    return _joined(docs, docs, **options).mapInArrow(_texts(docs.columns), docs.schema)
 
 
 def _joined(docs: DataFrame, keep: DataFrame, **options) -> DataFrame:
+    """``keep`` with the spans to remove as a further, last column."""
     spans, _ = repeated_spans(docs, **options)
-    return keep.withColumn("_key", _doc_key()).join(spans.withColumnRenamed("doc_key", "_key"), "_key", "left").drop("_key").select(*keep.columns, "spans")
+    key, last = free_name(keep, "op3_key"), free_name(keep, "op3_spans")
+    spans = spans.select(F.col("doc_key").alias(key), F.col("spans").alias(last))
+    return keep.withColumn(key, _doc_key()).join(spans, key, "left").select(*keep.columns, last)
 
 
-def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def removals(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of each row."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _joined(docs, slim).mapInArrow(_remover("digest"), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _joined(docs, slim, **options).mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removals(table(spark, sf_dir, "documents"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
