@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from provlake.llm.common import LOWER, cut, doc_columns, small, table
+from provlake.llm.common import LOWER, cut, doc_columns, drop_cut, free_name, small, table
 from provlake.llm.graph import components
 
 SEED, BITS, WITHIN = 42, 3, 2
@@ -70,8 +70,8 @@ def segment_masks(m: int = SEGMENTS) -> list[int]:
     return [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
 
 
-def links(fps: DataFrame, within: int = WITHIN, m: int = SEGMENTS, crowded: int = CROWDED) -> DataFrame:
-    """(u, v) for distinct fingerprints (fp, rep): links that connect all pairs within two bits."""
+def links(fps: DataFrame, within: int = WITHIN, m: int = SEGMENTS, crowded: int = CROWDED) -> tuple[DataFrame, list[DataFrame]]:
+    """(u, v) for distinct fingerprints (fp, rep): links that connect all pairs within two bits; and the written tables behind them."""
     if within != 2:
         raise ValueError("the neighbourhood path is made for two bits")
     masks = segment_masks(m)
@@ -96,15 +96,18 @@ def links(fps: DataFrame, within: int = WITHIN, m: int = SEGMENTS, crowded: int
     hot = shared.where(F.col("n") > crowded).select("fp", "rep").distinct()
     meet = hot.select("rep", F.col("fp").alias("fp0"), near).groupBy(F.col("fp0").bitwiseXOR(F.col("flip")).alias("at"))
     stars = meet.agg(F.collect_list("rep").alias("reps")).where(F.size("reps") > 1).select(F.array_min("reps").alias("v"), F.explode("reps").alias("u"))
-    return pairs.unionByName(stars.select("u", "v").where("u <> v")).distinct()
+    return pairs.unionByName(stars.select("u", "v").where("u <> v")).distinct(), [counts, shared]
 
 
 def labels(prints: DataFrame, node: str) -> DataFrame:
     """fp, component_id of each fingerprint: the smallest ``node`` of its component."""
     # groups whose nodes are all null stay alone
     fps = cut(prints.groupBy("fp").agg(F.min(node).alias("rep")).where("rep is not null"), "op4-distinct")
-    comp = components(links(fps))
-    return cut(fps.join(comp, fps["rep"] == comp["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "op4-labels")
+    near, written = links(fps)
+    comp = components(near)
+    got = cut(fps.join(comp, fps["rep"] == comp["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "op4-labels")
+    drop_cut(fps, *written)
+    return got
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -118,20 +121,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _beside(text: int):
+def _beside(text: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             got = np.array([fingerprint(t) for t in b.column(text).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "op4_fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=names)
 
     return run
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one row of each component stays, that of the smallest doc_id; rows without an id come last."""
-    schema = StructType([*docs.schema.fields, StructField("op4_fp", LongType())])
+    fp, key = free_name(docs, "op4_fp"), free_name(docs, "op4_row")
+    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
     # ids may be null or repeated: rows are told apart by a key written with the fingerprints
-    rows = cut(docs.mapInArrow(_beside(docs.columns.index("text")), schema).withColumn("op4_row", F.monotonically_increasing_id()), "op4-rows")
-    prints = rows.select(F.col("op4_fp").alias("fp"), F.col("op4_row").alias("row"), F.col("doc_id").alias("id"))
+    rows = cut(docs.mapInArrow(_beside(docs.columns.index("text"), schema.names), schema).withColumn(key, F.monotonically_increasing_id()), "op4-rows")
+    prints = rows.select(F.col(fp).alias("fp"), F.col(key).alias("row"), F.col("doc_id").alias("id"))
     best = prints.join(labels(prints, "row"), "fp").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("m"))
-    return rows.join(best.select(F.col("m.row").alias("op4_row")), "op4_row", "left_semi").select(docs.columns)
+    return rows.join(best.select(F.col("m.row").alias(key)), key, "left_semi").select(docs.columns)
