@@ -6,8 +6,8 @@ segment's packed order-0 counts, and for each block its number of ids, CRC-32 an
 decodes alone, given those counts.  Parts are ranges of doc_id, so part and segment order is document
 order; starts come from a running sum over parts.
 
-Words between white space are given to the tokenizers library once while they are in a worker's bounded
-memo; texts with white space other than blank, tab, line feed and return go to it whole.
+Words between white space, in lower case and cut as the tokenizer's own pattern cuts them, are given to the
+tokenizers library once while they are in a worker's bounded memos; texts with white space other than blank, tab, line feed and return go to it whole.
 
 Defined cases: a null text is encoded as an empty one and has the end id alone; rows that share a
 doc_id stand in the order of their texts' hashes, then texts, each with its own start; a null doc_id
@@ -21,6 +21,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ _SCHEMA = "doc_ids array<long>, doc_lens array<long>, prior binary, block_lens a
 
 
 class Tokens:
-    """Ids by the tokenizers library: words that aren't in the bounded memo go to it together, joined by blanks."""
+    """Ids by the tokenizers library: the pieces of words that aren't in the bounded memos go to it together."""
 
     def __init__(self, path: str, words: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,22 +53,34 @@ class Tokens:
         vocab = self.tok.get_vocab()
         self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a piece of a word
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.most, self.young, self.old = words, {}, {}
+        self.most, self.young, self.old, self.pieces = words, {}, {}, {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, words: list[str]) -> list[bytes] | None:
+        """Ids of each plain word, by its pieces: those that aren't in their memo are encoded as one text; None if they can't be told apart."""
+        if len(self.pieces) > self.most:
+            self.pieces = {}
+        known = self.pieces
+        parts = [(w.lower(),) if w.isalpha() else _PIECES(w.lower()) for w in words]
+        miss = list(set(chain.from_iterable(parts)).difference(known))
+        if miss:
+            ids = np.array(self.tok.encode_batch_fast([" ".join(miss)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(miss):
+                return None
+            raw, at = ids.tobytes(), (2 * ends).tolist()
+            known.update(zip(miss, [raw[x:y] for x, y in zip([0, *at], at)]))
+        return [known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for p in parts]
+
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word.  Plain words are encoded as one text and told apart by their numbers of pieces."""
         plain = [w for w in words if _PLAIN(w) and "<|" not in w]
+        got = self._pieces(plain)
+        if got is not None and len(plain) == len(words):
+            return got
         out = dict.fromkeys(words)
-        if plain:
-            ids = np.array(self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            pieces = np.cumsum([1 if w.isalpha() else len(_PIECES(w.lower())) for w in plain])
-            if len(ends) == pieces[-1]:
-                raw, at = ids.tobytes(), (2 * ends[pieces - 1]).tolist()
-                out.update(zip(plain, [raw[a:b] for a, b in zip([0, *at], at)]))
+        out.update(zip(plain, got or ()))
         rest = [w for w, g in out.items() if g is None]
         out.update(zip(rest, self._library(rest)))
         return [out[w] for w in words]
