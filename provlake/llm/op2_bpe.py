@@ -7,9 +7,11 @@ sides are put together and encoded again.  A join is widened until both of its e
 there the new encoding agrees exactly with that of the whole text, as the pre-tokenizer breaks at a space
 behind a non-space whatever stands around it.  A chunk without two safe breaks is taken into its joins.
 
-All that a step of documents needs goes to the tokenizers library in one call.  The chunks that a worker
-holds are bounded by bytes and outlive a task where Spark reuses its workers; they are not shared between
-workers, as moving a chunk's ids costs more than encoding it again.
+What is new in a step of documents, chunks' inner stretches and joins, goes to the tokenizers library in one
+call, each piece between safe breaks once: its tokens are told apart by their lengths in bytes, and the call's
+ids must decode to its text again.  The chunks and pieces that a worker holds are bounded and outlive a task
+where Spark reuses its workers; they are not shared between workers, as moving a chunk's ids costs more than
+encoding it again.
 
 Defined cases: a null text is encoded as an empty one; special tokens in a text are recognised as the
 library does; any length is taken whole; rows repeat as they came; an empty table stays empty.
@@ -21,6 +23,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,9 @@ from provlake.llm.common import doc_columns, small, steps, table
 #: White space on which regex engines agree; other kinds take the slow path.
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 MASK_BITS, LEAST, MOST = 10, 256, 8192
-#: Bytes of chunks, ids and decoded texts that a worker holds.
-HELD = 32 << 20
+#: Bytes of chunks, ids and decoded texts, and number of pieces that a worker holds.
+HELD, PIECES = 24 << 20, 200_000
+_PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -82,17 +86,67 @@ _FIRST, _LAST = re.compile(_SAFE), re.compile(".*" + _SAFE, re.S)
 class Codec:
     """encode(texts) gives each whole text's ids and decoded text."""
 
-    def __init__(self, path: str, held: int = HELD) -> None:
+    def __init__(self, path: str, held: int = HELD, pieces: int = PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.most = held
+        vocab = self.tok.get_vocab()
+        self.length = np.zeros(max(vocab.values(), default=0) + 1, np.int64)  # bytes of a token
+        self.length[list(vocab.values())] = list(map(len, vocab))
+        self.most, self.most_pieces = held, pieces
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
         self.bytes = 0
+        self.new: dict[str, tuple[bytes, str]] = {}
+        self.aged: dict[str, tuple[bytes, str]] = {}
+
+    def _library(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        # a text that decodes to itself stands once in memory
+        return [(np.array(i, "<u2").tobytes(), t if t == d else d) for i, t, d in zip(ids, texts, self.tok.decode_batch(ids, skip_special_tokens=False))]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces: those with white space in front and text behind are encoded as one text."""
+        linked = [p for p in pieces if p[0] in " \t\n\r" and p[-1] not in " \t\n\r" and "<|" not in p]
+        if linked:
+            whole = "".join(linked)
+            ids = self.tok.encode_batch_fast([whole], add_special_tokens=False)[0].ids
+            got = np.array(ids, "<u2")
+            at, ends = np.cumsum(self.length[got]), np.cumsum([len(p.encode()) for p in linked])
+            stop = np.searchsorted(at, ends) + 1
+            if stop[-1] <= len(at) and (at[stop - 1] == ends).all() and self.tok.decode(ids, skip_special_tokens=False) == whole:
+                raw, edge = got.tobytes(), (2 * stop).tolist()
+                self.new.update(zip(linked, zip([raw[x:y] for x, y in zip([0, *edge], edge)], linked)))
+        rest = [p for p in pieces if p not in self.new]
+        self.new.update(zip(rest, self._library(rest)))
+
+    def spans(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """(ids, decoded text) of texts whose ends are safe breaks; those with odd white space go whole."""
+        if len(self.new) > self.most_pieces:
+            self.aged, self.new = self.new, {}
+        split = [None if ODD_SPACE.search(t) else _PIECE.findall(t) for t in texts]
+        miss = []
+        for p in set(chain.from_iterable(w for w in split if w)).difference(self.new):
+            if (got := self.aged.get(p)) is None:
+                miss.append(p)
+            else:
+                self.new[p] = got
+        if miss:
+            self._learn(miss)
+        odd = [t for t, w in zip(texts, split) if w is None]
+        whole = dict(zip(odd, self._library(odd)))
+        out = []
+        for t, w in zip(texts, split):
+            if w is None:
+                out.append(whole[t])
+            else:
+                got = [self.new[p] for p in w]
+                dec = "".join([g[1] for g in got])
+                out.append((b"".join([g[0] for g in got]), t if dec == t else dec))
+        return out
 
     def _find(self, chunk: str) -> tuple | None:
         got = self.young.get(chunk)
@@ -103,7 +157,7 @@ class Codec:
     def _hold(self, chunk: str, got: tuple) -> None:
         """Two generations, each of half the bytes; the older one goes when the younger is full."""
         self.young[chunk] = got
-        self.bytes += 5 * len(chunk) + 200
+        self.bytes += 4 * len(chunk) + 300
         if self.bytes > self.most // 2:
             self.old, self.young, self.bytes = self.young, {}, 0
 
@@ -135,10 +189,7 @@ class Codec:
             if open_end:
                 parts.append(jobs.setdefault(open_end, len(jobs)))
             plan.append(parts)
-        ids = [e.ids for e in self.tok.encode_batch_fast(list(jobs), add_special_tokens=False)]
-        same = self.tok.decode_batch(ids, skip_special_tokens=False)
-        # a text that decodes to itself stands once in memory
-        done = [(np.array(i, np.int32), t if t == d else d) for i, t, d in zip(ids, jobs, same)]
+        done = self.spans(list(jobs))
         for chunk, got in here.items():
             if got[2] is not None and not got[2]:
                 got[2].append(done[jobs[got[1]]])
@@ -147,7 +198,7 @@ class Codec:
         out = []
         for parts in plan:
             pieces = [done[p] if isinstance(p, int) else p[2][0] for p in parts]
-            out.append((np.concatenate([p[0] for p in pieces]) if pieces else np.zeros(0, np.int32), "".join([p[1] for p in pieces])))
+            out.append((np.frombuffer(b"".join([p[0] for p in pieces]), "<u2"), "".join([p[1] for p in pieces])))
         return out
 
 
@@ -181,7 +232,7 @@ def _worker(path: str, kind: str):
                 got = codec.encode(texts[x:y])
                 cols = [docs.slice(x, y - x).cast(pa.int64()), pa.array([len(i) for i, _ in got], pa.int64())]
                 if kind == "full":
-                    cols += [pa.array([i for i, _ in got], pa.list_(pa.int32())), pa.array([d for _, d in got], pa.string())]
+                    cols += [pa.array([i.astype(np.int32) for i, _ in got], pa.list_(pa.int32())), pa.array([d for _, d in got], pa.string())]
                 cols += [pa.array([sha(",".join([text[v] for v in i.tolist()])) for i, _ in got], pa.string()), pa.array([sha(d) for _, d in got], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=_NAMES[kind])
 
