@@ -71,17 +71,17 @@ def test_bpe_chunks():
             calls.append(sum(map(len, texts)))
             return library.encode_batch_fast(texts, **options)
 
-        decode_batch = library.decode_batch
+        decode, decode_batch = library.decode, library.decode_batch
 
     codec.tok = Counted()
     for text in (joined + joined, joined, "x" * 300_000, "", joined + " tail"):
         assert codec.encode([text])[0][0].tolist() == library.encode(text, add_special_tokens=False).ids
-    # chunks that came before are not encoded again
-    assert calls[0] < 1.5 * len(joined) and calls[1] < len(joined) / 2 and calls[4] < len(joined) / 2
+    # what came before is not encoded again
+    assert sum(calls) < len(joined) / 2 + 300_000 + 1000
 
 
 def test_bpe_random():
-    rng, codec = random.Random(3), op2_bpe.Codec(op2_bpe.vocabulary(), held=4000)
+    rng, codec = random.Random(3), op2_bpe.Codec(op2_bpe.vocabulary(), held=4000, pieces=30)
     bits = ["a", "b'", " ", "  ", "\n", "\t", "é", "'s", "1", " ", "!", "\x1f", "\xa0", "\x0b", "<|endoftext|>", "日本"]
     for _ in range(100):
         batch = ["".join(rng.choice(bits) for _ in range(rng.choice([5, 50, 900]))) for _ in range(3)]
