@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import curation, harvest, relational
+from provlake.plans import curation, harvest, relational, rules, stages
 
-QUERIES = relational.QUERIES | harvest.QUERIES | curation.QUERIES
-ORACLES = relational.ORACLES | harvest.ORACLES | curation.ORACLES
+QUERIES = relational.QUERIES | harvest.QUERIES | curation.QUERIES | rules.QUERIES | stages.QUERIES
+ORACLES = relational.ORACLES | harvest.ORACLES | curation.ORACLES | rules.ORACLES | stages.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

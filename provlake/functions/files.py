@@ -8,24 +8,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Names, extensions and ranks that the record model uses.
-STEMS = "vasprun outcar vaspout oszicar poscar contcar incar kpoints potcar xdatcar doscar eigenval procar ibzkpt".split()
+STEMS = ("vasprun", "outcar", "vaspout", "oszicar", "poscar", "contcar", "incar", "kpoints", "potcar", "xdatcar", "doscar", "eigenval", "procar", "ibzkpt")
 PRIMARY = ("vasprun", "outcar", "vaspout")
-FETCH_STEMS = "vasprun vaspout outcar incar kpoints poscar contcar potcar oszicar".split()
+FETCH_STEMS = ("vasprun", "vaspout", "outcar", "incar", "kpoints", "poscar", "contcar", "potcar", "oszicar")
 ARCHIVES = (".zip", ".tar", ".gz", ".tgz", ".bz2", ".xz", ".7z", ".rar", ".tbz2", ".zst", ".tar.gz", ".tar.bz2", ".tar.xz")
 PROCESSED = (".extxyz", ".xyz", ".traj", ".aselmdb", ".lmdb", ".h5", ".hdf5", ".json", ".cif")
 RANKS = {"vasp_direct": 4, "archive": 3, "processed_atomistic": 2, "vasp_input_only": 1, "unlikely": 0}
 HEAVY = {
-    "charge_density": r"(chgcar|chg|aeccar\w*|parchg)", "wavefunction": r"wavecar", "dos": r"doscar", "eigenvalues": r"eigenval",
-    "projected": r"procar", "local_potential": r"locpot", "elf": r"elfcar",
+    "charge_density": "(chgcar|chg|aeccar|parchg)", "wavefunction": "wavecar", "dos": "doscar", "eigenvalues": "eigenval",
+    "projected": "procar", "local_potential": "locpot", "elf": "elfcar",
 }
-ROLES = [("vasprun", r"vasprun.*\.xml"), ("vaspout", r"vaspout.*\.h5"), ("outcar", r"outcar"), ("incar", r"incar"), ("contcar", r"contcar"), ("poscar", r"poscar"), ("potcar", r"potcar")]
+TARS = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar.xz", ".txz")
+ROLES = ("vasprun", "vaspout", "outcar", "incar", "contcar", "poscar", "potcar")
 
 _SQUEEZED = r"(\.(gz|bz2|xz|zst|lz4))?$"
 NAME_PATTERN = r"(?iU)(?:^|[/_.-])(" + "|".join(STEMS) + r")(?:[._-]\w+)*" + _SQUEEZED
 PRIMARY_PATTERN = r"(?iU)(?:^|[/_.-])(" + "|".join(PRIMARY) + r")(?:[._-]\w+)*" + _SQUEEZED
 FETCH_PATTERN = r"(?i)(?:^|[/_.-])(" + "|".join(FETCH_STEMS) + r")"
 JUNK_PATTERN = r"(^|/)(\._|\.DS_Store$|__MACOSX(/|$))"
-MULTIPART_PATTERN = r"(?i)(\.part\d+\.rar|\.z\d{2}|\.r\d{2}|\.7z\.\d{3}|\.zip\.\d{3}|\.\d{3})$"
+MULTIPART_PATTERN = r"(?i)\.(z\d{2}|r\d{2}|part\d+\.rar)$"
 
 
 def extension(name: Column) -> Column:
@@ -62,25 +63,32 @@ def is_multipart(name: Column) -> Column:
 
 
 def heavy_kind(path: Column) -> Column:
-    """The kind of a heavy output, by the first pattern that fits the basename's start; else null."""
+    """The kind of a heavy output, by the first word that the basename starts with; else null."""
     base = basename(path)
-    return F.coalesce(*[F.when(base.rlike(rf"(?i)^{p}([._-].*)?$"), k) for k, p in HEAVY.items()])
+    return F.coalesce(*[F.when(base.rlike(f"(?i)^{p}"), k) for k, p in HEAVY.items()])
+
+
+def is_heavy(kind: str):
+    """A test of a name for one kind of heavy output."""
+    return lambda name: basename(name).rlike(f"(?i)^{HEAVY[kind]}")
 
 
 def availability(names: Column) -> Column:
     """Map of heavy kind to whether any of an array of names has it."""
-    return F.create_map(*[x for k, p in HEAVY.items() for x in (F.lit(k), F.exists(names, lambda n, p=p: basename(n).rlike(rf"(?i)^{p}([._-].*)?$")))])
+    return F.create_map(*[x for k in HEAVY for x in (F.lit(k), F.exists(names, is_heavy(k)))])
 
 
 def archive_kind(name: Column, bare: bool = True) -> Column:
-    """zip, tar, rar, 7z, tar.zst, and for top-level names (``bare``) zst, gz, bz2 or xz unless it is a wanted file."""
+    """zip, tar, rar, sevenzip or tarzst; top-level names (``bare``) with nothing but a compression suffix
+    count as tars that lost their own, unless they are wanted files."""
     low = F.lower(name)
+    ends = lambda names: "(" + "|".join(n.replace(".", r"\.") for n in names) + ")$"
     out = (
-        F.when(low.endswith(".zip"), "zip").when(low.rlike(r"\.(tar|tgz|tbz2|txz|tar\.(gz|bz2|xz))$"), "tar")
-        .when(low.endswith(".rar"), "rar").when(low.endswith(".7z"), "7z").when(low.rlike(r"\.(tar\.zst|tzst)$"), "tar.zst")
+        F.when(low.endswith(".zip"), "zip").when(low.rlike(ends(TARS)), "tar")
+        .when(low.endswith(".rar"), "rar").when(low.endswith(".7z"), "sevenzip").when(low.rlike(r"\.(tar\.zst|tzst)$"), "tarzst")
     )
     if bare:
-        out = out.when(low.rlike(r"\.(zst|gz|bz2|xz)$") & ~is_fetch_name(name), F.regexp_extract(low, r"\.(zst|gz|bz2|xz)$", 1))
+        out = out.when(low.endswith(".zst") & ~is_fetch_name(name), "tarzst").when(low.rlike(r"\.(gz|bz2|xz)$") & ~is_fetch_name(name), "tar")
     return out
 
 
@@ -94,14 +102,17 @@ def would_download(name: Column) -> Column:
 
 
 def role(path: Column) -> Column:
-    base = basename(path)
-    return F.coalesce(*[F.when(base.rlike(rf"(?i){p}{'(\\.(gz|bz2|xz|lzma))?$' if k in ('vasprun', 'vaspout') else ''}"), k) for k, p in ROLES])
+    """The slot of a unit that a name fills: its word at the start or behind a separator, some with their extension."""
+    base, tails = basename(path), {"vasprun": r"[\w.\-]*\.xml(\.(gz|bz2|xz|zst))?$", "vaspout": r"[\w.\-]*\.h5$"}
+    return F.coalesce(*[F.when(base.rlike(rf"(?iU)(?:^|[/_.\-]){k}{tails.get(k, '')}"), k) for k in ROLES])
 
 
 def unit_tag(path: Column) -> Column:
-    """What tells a unit's files apart in one directory: the name without one extension and its stem."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(basename(path)), r"\.[^.]*$", ""), "(" + "|".join(FETCH_STEMS) + ")", "")
-    return F.regexp_replace(bare, r"^[._-]+|[._-]+$", "")
+    """What tells a unit's files apart in one directory: the name without its role's word, one known extension and the edges."""
+    low, word = F.lower(basename(path)), role(path)
+    at = F.coalesce(F.position(word, low), F.lit(0))
+    bare = F.when(at > 0, F.concat(F.substring(low, F.lit(1), at - 1), F.substring(low, at + F.length(word), F.length(low)))).otherwise(low)
+    return F.regexp_replace(F.regexp_replace(bare, r"\.(xml|h5|gz|bz2|xz|zst|json)$", ""), r"^[ ._\-/]+|[ ._\-/]+$", "")
 
 
 def archive_subdir(name: Column) -> Column:
@@ -127,8 +138,8 @@ def inside(path: Column, root: Column) -> Column:
 def classify(names: Column) -> Column:
     """struct(category, rank, vasp_files, primary_files, archives, processed) of an array of names."""
     calc, prim = F.filter(names, is_calc_name), F.filter(names, is_primary_name)
-    arch = F.filter(names, lambda n: extension(n).isin(*ARCHIVES) & ~is_calc_name(n))
-    proc = F.filter(names, lambda n: extension(n).isin(*PROCESSED) & ~is_calc_name(n))
+    arch = F.filter(names, lambda n: extension(basename(n)).isin(*ARCHIVES))
+    proc = F.filter(names, lambda n: extension(basename(n)).isin(*PROCESSED))
     category = (
         F.when(F.size(prim) > 0, "vasp_direct").when(F.size(arch) > 0, "archive").when(F.size(proc) > 0, "processed_atomistic")
         .when(F.size(calc) > 0, "vasp_input_only").otherwise("unlikely")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Labels of functionals and dispersion corrections, defaults of tags.
 GGA = {"RE": "revPBE", "PE": "PBE", "PS": "PBEsol", "RP": "revPBE+Padé", "AM": "AM05", "OR": "optPBE", "BO": "optB88", "MK": "optB86b", "--": "GGA"}
 METAGGA = {"TPSS": "TPSS", "RTPSS": "revTPSS", "M06L": "M06-L", "MBJ": "modified Becke-Johnson", "SCAN": "SCAN", "R2SCAN": "R2SCAN", "RSCAN": "RSCAN", "MS0": "MadeSimple0", "MS1": "MadeSimple1", "MS2": "MadeSimple2"}
+METAGGA_OFF = ("--", "NONE", "F", ".FALSE.", ".F.", "FALSE", "T", ".TRUE.", ".T.", "TRUE")
 IVDW = {0: "no-correction", 1: "DFT-D2", 10: "DFT-D2", 11: "DFT-D3", 12: "DFT-D3-BJ", 2: "TS", 20: "TS", 21: "TS-H", 202: "MBD", 4: "dDsC"}
 DEFAULTS = {"LHFCALC": "false", "LDAU": "false", "LSORBIT": "false", "ADDGRID": "false", "LREAL": "false", "LASPH": "false", "NKRED": "1"}
 HYBRIDS = {"HSE06": (0.25, 0.2), "HSE03": (0.25, 0.3), "B3LYP": (0.2, 0.0), "HF": (1.0, 0.0)}
@@ -24,18 +25,22 @@ def _labels(table: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
 
 
-def run_type(lhfcalc: Column, aexx: Column, hfscreen: Column, metagga: Column, gga: Column, ldau: Column, ivdw: Column, luse_vdw: Column) -> Column:
-    """Functional by the ordered rule, then ``+U``, then the dispersion suffix (IVDW of the user's own file only)."""
+def run_type(lhfcalc: Column, aexx: Column, hfscreen: Column, metagga: Column, gga: Column, ldau: Column, ivdw: Column, luse_vdw: Column, paw: Column | None = None) -> Column:
+    """Functional by the ordered rule, then ``+U``, then the dispersion suffix (IVDW of the user's own file only).
+
+    The mixing numbers decide whether or not LHFCALC is on; absent ones count as zero.  ``paw``: whether the
+    first pseudopotential's title starts with PAW, which leaves LDA where nothing else is said.
+    """
     meta, g = F.upper(F.trim(metagga)), F.upper(F.trim(gga))
-    meta_on = F.coalesce(~meta.isin("", "--", "NONE", "T", "F", "TRUE", "FALSE"), F.lit(False))
-    hybrid = F.coalesce(lhfcalc, F.lit(False))
+    said = lambda x: x.isNotNull() & (x != "")
     base = (
-        F.when(hybrid & close(aexx, 1.0), "HF").when(hybrid & close(hfscreen, 0.3), "HSE03").when(hybrid & close(hfscreen, 0.2), "HSE06")
-        .when(hybrid & close(aexx, 0.2), "B3LYP").when(hybrid, OTHER_HYBRID)
-        .when(meta_on, F.coalesce(F.element_at(_labels(METAGGA), meta), meta)).when(g.isNotNull() & (g != ""), F.coalesce(F.element_at(_labels(GGA), g), g)).otherwise("unknown")
+        F.when(close(aexx, 1.0), "HF").when(close(hfscreen, 0.3), "HSE03").when(close(hfscreen, 0.2), "HSE06").when(close(aexx, 0.2), "B3LYP")
+        .when(lhfcalc, OTHER_HYBRID).when(said(meta) & ~meta.isin(*METAGGA_OFF), F.coalesce(F.element_at(_labels(METAGGA), meta), meta))
+        .when(said(g), F.coalesce(F.element_at(_labels(GGA), g), g)).when(F.lit(False) if paw is None else paw, "LDA").otherwise("unknown")
     )
-    vdw = F.when(F.coalesce(luse_vdw, F.lit(False)), "+rVV10").when(ivdw.isNotNull() & ((ivdw != 0) | F.lit(False)), F.concat(F.lit("+vdW-"), F.coalesce(F.element_at(_labels(IVDW), ivdw), F.lit("unknown"))))
-    return F.concat(base, F.when(F.coalesce(ldau, F.lit(False)), "+U").otherwise(""), F.coalesce(vdw, F.lit("")))
+    vdw = F.coalesce(F.element_at(_labels(IVDW), ivdw), F.when(ivdw != 0, "unknown"))
+    tail = F.when(luse_vdw, "+rVV10").when(vdw.isNotNull(), F.concat(F.lit("+vdW-"), vdw)).otherwise("")
+    return F.concat(base, F.when(ldau, "+U").otherwise(""), tail)
 
 
 def functional(run: Column) -> Column:
@@ -43,38 +48,53 @@ def functional(run: Column) -> Column:
 
 
 def is_hybrid(run: Column) -> Column:
-    return functional(run).isin(*HYBRIDS, OTHER_HYBRID)
+    return F.coalesce(functional(run).isin(*HYBRIDS) | run.contains("Hybrid"), F.lit(False))
+
 
+def truthy(value: Column) -> Column:
+    """Whether a text stands for on; other texts and null are off."""
+    return F.coalesce(F.upper(F.trim(value)).isin("T", ".TRUE.", ".T.", "TRUE", "1"), F.lit(False))
 
-def resolve(tag: str, incar: Column, parameters: Column, run: Column, stress_frames: Column | None = None) -> Column:
+
+def resolve(tag: str, incar: Column, parameters: Column, run: Column) -> Column:
     """struct(value, source): the user's file, the effective block, what the run type says, the default, else unknown.
 
     ``incar`` and ``parameters`` are maps of text.  A present but empty ``incar`` is complete; a null one is not,
-    so nothing is derived or defaulted from its silence.
+    so nothing is derived or defaulted from its silence.  AEXX and HFSCREEN apply only if the resolved LHFCALC is on.
     """
     own, eff = F.element_at(incar, F.lit(tag)), F.element_at(parameters, F.lit(tag))
-    complete = incar.isNotNull()
-    derived = F.lit(None).cast("string")
+    complete, none = incar.isNotNull(), F.lit(None).cast("string")
+    off = F.lit(False)
+    derived = none
     if tag == "LHFCALC":
         derived = F.when(complete & is_hybrid(run), "true")
     elif tag == "LDAU":
-        derived = F.when(complete & run.contains("+U"), "true")
+        derived = F.when(complete & F.coalesce(run.contains("+U"), F.lit(False)), "true")
     elif tag in ("AEXX", "HFSCREEN"):
+        off = complete & ~truthy(resolve("LHFCALC", incar, parameters, run)["value"])
         i = 0 if tag == "AEXX" else 1
-        derived = F.when(complete, F.element_at(_labels({k: str(v[i]) for k, v in HYBRIDS.items()}), functional(run)))
-    stress = F.when(stress_frames.isNotNull(), (stress_frames > 0).cast("string")) if tag == "ISIF" and stress_frames is not None else F.lit(None).cast("string")
-    default = F.when(complete, F.lit(DEFAULTS.get(tag))) if tag in DEFAULTS else F.lit(None).cast("string")
-    na = F.lit(tag in ("AEXX", "HFSCREEN")) & complete & ~is_hybrid(run)
-    value = F.coalesce(own, eff, derived, stress, default)
+        derived = F.when(complete & ~off, F.element_at(_labels({k: str(v[i]) for k, v in HYBRIDS.items()}), functional(run)))
+    default = F.when(complete, F.lit(DEFAULTS[tag])) if tag in DEFAULTS else none
     source = (
-        F.when(own.isNotNull(), "incar").when(eff.isNotNull(), "parameters").when(derived.isNotNull(), "derived:run_type").when(stress.isNotNull(), "derived:stress")
-        .when(default.isNotNull(), "default").when(F.coalesce(na, F.lit(False)), "not_applicable").otherwise("unknown")
+        F.when(own.isNotNull(), "incar").when(eff.isNotNull(), "parameters").when(derived.isNotNull(), "derived:run_type")
+        .when(default.isNotNull(), "default").when(off, "not_applicable").otherwise("unknown")
     )
-    return F.struct(value.alias("value"), source.alias("source"))
+    return F.struct(F.coalesce(own, eff, derived, default).alias("value"), source.alias("source"))
+
 
+def resolve_all(incar: Column, parameters: Column, run: Column) -> Column:
+    return F.create_map(*[x for t in TAGS for x in (F.lit(t), resolve(t, incar, parameters, run))])
 
-def resolve_all(incar: Column, parameters: Column, run: Column, stress_frames: Column) -> Column:
-    return F.create_map(*[x for t in TAGS for x in (F.lit(t), resolve(t, incar, parameters, run, stress_frames))])
+
+def effective(resolved: Column) -> Column:
+    """Map of tag to value alone; null where unresolved."""
+    return F.transform_values(resolved, lambda k, v: v["value"])
+
+
+def computes_stress(frames_with_stress: Column) -> Column:
+    """struct(value, source) of whether a run gave stresses, by its frames; unknown without a count."""
+    known = frames_with_stress.isNotNull()
+    return F.struct(F.when(known, frames_with_stress > 0).alias("value"), F.when(known, "derived:stress").otherwise("unknown").alias("source"))
 
 
 def lookup(tag: str, parameters: Column, incar: Column, resolved: Column) -> Column:
@@ -159,13 +179,20 @@ def spin_availability(charge_density: Column, spin: Column, magnetic: Column) ->
 def coerce(token: Column) -> Column:
     """struct(kind, b, i, d, s): a parameter token as boolean, integer, decimal (Fortran D exponents too) or text."""
     t = F.upper(F.trim(token))
-    b = F.when(t.rlike(r"^\.?T(RUE)?\.?$"), True).when(t.rlike(r"^\.?F(ALSE)?\.?$"), False)
+    b = F.when(t.isin("T", ".T.", ".TRUE."), True).when(t.isin("F", ".F.", ".FALSE."), False)
     i = t.try_cast("long")
     d = F.translate(t, "D", "E").try_cast("double")
     kind = F.when(b.isNotNull(), "boolean").when(i.isNotNull() & ~t.contains("."), "integer").when(d.isNotNull(), "decimal").otherwise("text")
     return F.struct(kind.alias("kind"), b.alias("b"), i.alias("i"), d.alias("d"), token.alias("s"))
 
 
+def coerce_list(value: Column) -> Column:
+    """struct(numbers, text): a value of several tokens as numbers if all are numbers or booleans (1 and 0), else as text."""
+    tokens = F.transform(F.filter(F.split(F.trim(value), r"\s+"), lambda x: x != ""), coerce)
+    plain = (F.size(tokens) > 0) & F.forall(tokens, lambda t: t["kind"] != "text")
+    return F.struct(F.when(plain, F.transform(tokens, lambda t: F.coalesce(t["d"], t["b"].cast("double")))).alias("numbers"), F.when(~plain, F.trim(value)).alias("text"))
+
+
 def parameter_lines(text: Column) -> Column:
     """Map of tags of a user's input text: comments after ``#`` or ``!`` go, ``;`` separates, the first of a tag counts."""
     bare = F.regexp_replace(text, r"[#!][^\n]*", "")

@@ -100,9 +100,11 @@ def normalise_hit(hit: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    out = F.format_string("%.1f PB", n / 1e15)
+    """Bytes with one digit in the largest fitting unit, rounded as the stored number is, half to even."""
+    shown = lambda size, unit: F.concat(F.replace(F.format_number(n / size, 1), F.lit(","), F.lit("")), F.lit(f" {unit}"))
+    out = shown(1e15, "PB")
     for unit, size in (("TB", 1e12), ("GB", 1e9), ("MB", 1e6), ("KB", 1e3)):
-        out = F.when(F.abs(n) < size * 1e3, F.format_string(f"%.1f {unit}", n / size)).otherwise(out)
+        out = F.when(F.abs(n) < size * 1e3, shown(size, unit)).otherwise(out)
     return F.when(F.abs(n) < 1000, F.format_string("%d B", n.cast("long"))).otherwise(out)
 
 

@@ -17,6 +17,23 @@ def with_gate(df: DataFrame, gates: list[tuple[str, Column]], keep: str = "keep"
     return df.withColumn("gate", failed)
 
 
+def dropped_values(df: DataFrame, gates: list[tuple[str, Column]], gate: str, column: str, k: int = 10) -> DataFrame:
+    """(column, n): the k most frequent values among the rows that ``gate`` dropped; a missing one is ``null``."""
+    value = F.coalesce(F.col(column).cast("string"), F.lit("null")).alias(column)
+    return with_gate(df, gates).where(F.col("gate") == gate).groupBy(value).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)
+
+
+def census(files: DataFrame, record: str, size: str, name: str, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(one row: records, bytes, largest and middle record, share of the k largest; files and bytes by extension)."""
+    from provlake.functions.files import extension
+
+    per = files.groupBy(record).agg(F.sum(size).cast("long").alias("v")).withColumn("_all", F.lit("all"))
+    stats = lower_index_stats(per, "_all", "v").select(F.col("n").alias("records"), F.col("total").alias("bytes"), F.col("high").alias("largest"), "median")
+    top = per.orderBy(F.desc("v"), record).limit(k).agg(F.sum("v").alias("_top"))
+    row = stats.crossJoin(F.broadcast(top)).withColumn("top_share", F.round(F.try_divide("_top", "bytes"), 6)).drop("_top")
+    return row, files.groupBy(extension(F.col(name)).alias("ext")).agg(F.count("*").alias("files"), F.sum(size).cast("long").alias("bytes"))
+
+
 def split_rejects(df: DataFrame, gates: list[tuple[str, Column]], stage: str, ident: str) -> tuple[DataFrame, DataFrame]:
     """(kept rows, rejection rows): nothing is dropped without a row that says why."""
     got = with_gate(df, gates)
@@ -47,17 +64,18 @@ def cap_sweep(df: DataFrame, group: str, size: str, caps: list[int | None]) -> D
 def lower_index_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """n, total, mean (2 digits), element n//2 and element min(n - 1, int(0.9 n)) of the ascending values, extremes.
 
-    Values are numbered inside sorted partitions (a window), not gathered into one array.
+    Values are numbered over ranges of (group, value), so a large group is spread; the wanted numbers are then joined.
     """
-    w = W.partitionBy(group).orderBy(value)
+    from provlake.operators.split import in_group
+
     size = df.groupBy(group).agg(F.count(value).alias("n"), F.sum(value).cast("long").alias("total"), F.round(F.avg(value), 2).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
-    at = df.where(F.col(value).isNotNull()).select(group, value, (F.row_number().over(w) - 1).alias("i"))
-    j = at.join(size.select(group, "n"), group)
-    picks = j.groupBy(group).agg(
-        F.max(F.when(F.col("i") == F.floor(F.col("n") / 2), F.col(value))).alias("median"),
-        F.max(F.when(F.col("i") == F.least(F.col("n") - 1, F.floor(F.col("n") * 0.9)), F.col(value))).alias("p90"),
+    at = in_group(df.where(F.col(value).isNotNull()).select(group, value), group, value)
+    half, tenth = F.floor(F.col("_n") / 2), F.least(F.col("_n") - 1, F.floor(F.col("_n") * 0.9))
+    # two values of each group are left before anything is grouped
+    picks = at.where((F.col("_i") == half) | (F.col("_i") == tenth)).groupBy(F.col(group).alias("_g")).agg(
+        F.max(F.when(F.col("_i") == half, F.col(value))).alias("median"), F.max(F.when(F.col("_i") == tenth, F.col(value))).alias("p90")
     )
-    return size.join(picks, group, "left")
+    return size.join(picks, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
 
 
 def concentration(df: DataFrame, key: str, value: Column, tops: list[int]) -> DataFrame:
@@ -102,8 +120,12 @@ def true_flags(df: DataFrame, flags: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact; null counts as a value."""
-    return df.agg(*[(F.countDistinct(c) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(c) for c in columns])
+    """Exact; null counts as a value.  Each column is grouped by itself, so rows aren't copied for each count."""
+    out = None
+    for c in columns:
+        one = df.groupBy(c).agg(F.lit(1).alias("_")).agg(F.count("*").alias(c))
+        out = one if out is None else out.crossJoin(F.broadcast(one))  # one row each
+    return out
 
 
 def pivot_sources(df: DataFrame, resolved: str) -> DataFrame:

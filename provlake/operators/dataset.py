@@ -41,7 +41,7 @@ def group_units(listing: DataFrame, record: str = "recid", path: str = "path") -
     tagged = f.where("primaries > 1")
     tags = tagged.where("primary").select(record, "dir", F.col("tag").alias("unit")).distinct()
     own = tagged.join(tags, [record, "dir"]).where("tag = unit or (tag = '' and not primary)")
-    canonical = ~F.lower(ff.basename(F.col("path"))).rlike(r"^vasprun\.xml")
+    canonical = F.lower(ff.basename(F.col("path"))) != "vasprun.xml"
     best = whole.unionByName(own).groupBy(record, "dir", "unit", "role").agg(F.min(F.struct(canonical.alias("odd"), "path")).alias("b"))
     return best.groupBy(record, "dir", "unit").agg(F.map_from_entries(F.collect_list(F.struct("role", F.col("b.path")))).alias("files"))
 
@@ -127,6 +127,16 @@ def merge_conflicts(into: DataFrame, sources: list[DataFrame], key: str = "calc_
     return all_.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def merge_problems(into: DataFrame, sources: list[DataFrame], stored: DataFrame, key: str = "calc_id") -> DataFrame:
+    """(problem, what, n) that forbid a merge: ids that several inputs have, and listed shards that aren't stored (shard)."""
+    clash = merge_conflicts(into, sources, key).select(F.lit("duplicate_id").alias("problem"), F.col(key).cast("string").alias("what"), "n")
+    listed = into.select("shards")
+    for s in sources:
+        listed = listed.unionByName(s.select("shards"))
+    named = listed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count("*").alias("n"))
+    return clash.unionByName(named.join(stored.select("shard").distinct(), "shard", "left_anti").select(F.lit("missing_shard").alias("problem"), F.col("shard").alias("what"), "n"))
+
+
 def prune_uncommitted(frames: DataFrame, calcs: DataFrame) -> DataFrame:
     """Frames that some metadata row lists."""
     return frames.join(calcs.select(F.explode("frame_ids").alias("frame_id")).distinct(), "frame_id", "left_semi")
@@ -154,6 +164,16 @@ def nearest_ancestor(paths: DataFrame, dirs: DataFrame, value: str) -> DataFrame
     return paths.join(up.join(dirs.select("dir", value), "dir").groupBy("path").agg(F.max_by(value, "depth").alias(value)), "path", "left")
 
 
+# What a folder's units make of it, the strongest first.
+STRENGTH = ("pending", "recoverable", "parsed")
+
+
+def folder_status(units: DataFrame) -> DataFrame:
+    """(dir, status): the strongest status among a folder's units (units: dir, status)."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in STRENGTH]), F.col("status"))
+    return units.groupBy("dir").agg(F.min_by("status", F.when(rank > 0, rank).otherwise(len(STRENGTH) + 1)).alias("status"))
+
+
 def reclaimable(paths: DataFrame, dirs: DataFrame) -> DataFrame:
     """Paths none of whose ancestors is kept (dirs: dir, keep)."""
     kept = dirs.groupBy("dir").agg(F.bool_or("keep").alias("keep")).where("keep")
@@ -162,11 +182,11 @@ def reclaimable(paths: DataFrame, dirs: DataFrame) -> DataFrame:
 
 
 def enrich(calcs: DataFrame) -> DataFrame:
-    """Adds ``resolved``; running it again changes nothing."""
-    from provlake.functions.physics import resolve_all
+    """Adds ``resolved`` and ``computes_stress``; running it again changes nothing."""
+    from provlake.functions import physics
 
     p = F.col("calc_parameters")
-    return calcs.withColumn("resolved", resolve_all(p["incar"], p["parameters"], p["run_type"], F.col("quality.n_frames_with_stress")))
+    return calcs.withColumn("resolved", physics.resolve_all(p["incar"], p["parameters"], p["run_type"])).withColumn("computes_stress", physics.computes_stress(F.col("quality.n_frames_with_stress")))
 
 
 def apply_net_properties(calcs: DataFrame, updates: DataFrame) -> DataFrame:
@@ -186,6 +206,31 @@ def sane_labels(energy: Column, n_atoms: Column) -> Column:
     return energy.isNotNull() & ~F.isnan(energy) & (F.abs(energy) != float("inf")) & (per > -15) & (per < 8)
 
 
+def refresh(calcs: DataFrame, new: DataFrame, parser: str, block: str, poor: Column) -> DataFrame:
+    """Rows of one parser whose ``block`` is poor get it from a map of ids; others and ids without a new block stay."""
+    j = calcs.join(new.select("calc_id", F.col(block).alias("_new")), "calc_id", "left")
+    guard = (F.col("parser") == parser) & poor & F.col("_new").isNotNull()
+    return j.select(*[F.when(guard, F.col("_new")).otherwise(F.col(c)).alias(c) if c == block else F.col(c) for c in calcs.columns])
+
+
+def repair_targets(calcs: DataFrame, parser: str | None, missing: Column | None = None) -> DataFrame:
+    """(record, calc_id) that a repair is for: of one parser, and only those that lack something if ``missing`` is given."""
+    from provlake.functions.records import record_id
+
+    rows = calcs if parser is None else calcs.where(F.col("parser") == parser)
+    return (rows if missing is None else rows.where(missing)).select(record_id(F.col("calc_id")).alias("record"), "calc_id").distinct()
+
+
+def net_properties(moment: Column, moment_source: Column, neutral: Column, nelect: Column, nsw: Column, ibrion: Column, ediffg: Column, steps: Column, known: Column) -> Column:
+    """struct(net_magnetization, net_charge, magnetization_source, ionic_converged): what is known already stays."""
+    from provlake.functions import physics
+
+    return F.struct(
+        moment.alias("net_magnetization"), physics.net_charge(neutral, nelect).alias("net_charge"), F.when(moment.isNotNull(), moment_source).otherwise("unavailable").alias("magnetization_source"),
+        F.coalesce(known, physics.ionic_converged(nsw, ibrion, ediffg, steps)).alias("ionic_converged"),
+    )
+
+
 def rewind(table: DataFrame, redo: DataFrame, on: str) -> DataFrame:
     """A new snapshot without the rows that are to be done again."""
     return table.join(redo.select(on).distinct(), on, "left_anti")

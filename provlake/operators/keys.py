@@ -27,6 +27,15 @@ def first_keys(df: DataFrame, key: str, position: str, n: int) -> DataFrame:
     return df.join(F.broadcast(seen.select(key)), key, "left_semi") if n <= 100_000 else df.join(seen.select(key), key, "left_semi")
 
 
+def limit_concepts(df: DataFrame, concept: str, position: str, n: int, resumed: DataFrame | None = None) -> DataFrame:
+    """Rows of the first concepts up to n distinct ones, counting those that an earlier run has."""
+    if resumed is None:
+        return first_keys(df, concept, position, n)
+    had = resumed.select(concept).distinct()
+    new = first_keys(df.join(had, concept, "left_anti"), concept, position, max(0, n - had.count()))
+    return df.join(had, concept, "left_semi").unionByName(new)
+
+
 def remaining(work: DataFrame, done: DataFrame, on: str, rejected: DataFrame | None = None) -> DataFrame:
     """Resume: work minus what is done and what was terminally rejected."""
     out = work.join(done.select(on).distinct(), on, "left_anti")
@@ -71,6 +80,11 @@ def or_flags(a: Column, b: Column) -> Column:
     return F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(False)) | F.coalesce(y, F.lit(False)))
 
 
+def parse_todo(units: DataFrame, done: DataFrame, rejected: DataFrame, ident: str = "calc_id", position: str = "pos") -> DataFrame:
+    """Units to parse: not done, not terminally rejected (id), and each id once, at its first place."""
+    return first_seen(remaining(units, done, ident, rejected.select(F.col("id").alias(ident))), ident, position)
+
+
 def overlap_reason(entries: DataFrame, known: DataFrame, key: str, refs: str, doi: str = "doi") -> DataFrame:
     """(key, reason): the first reference of an entry that names a known DOI or the other source's site."""
     from provlake.functions.records import normal_doi

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from provlake.functions.records import exception_type, percent, record_id
 
 
+#: Lines of the printed status, in order.
+LABELS = {
+    "candidates": "candidates", "keep": "kept by triage", "attempted": "records tried", "done": "records got", "untouched": "records not tried", "fetch_rejected": "records refused", "fetch_percent": "tried, percent",
+    "units": "calculation units", "calcs": "calculations parsed", "frames": "frames", "parse_percent": "parsed, percent",
+}
+
+
 def status(candidates: DataFrame, keep: DataFrame, fetched: DataFrame, calcs: DataFrame, rejections: DataFrame) -> DataFrame:
     """One row: counts and percents of every stage (ids are joined, never gathered)."""
     keep_ids = keep.select(F.coalesce("recid", "entry_id").alias("id") if "entry_id" in keep.columns else F.col("recid").alias("id")).distinct()
@@ -35,6 +42,18 @@ def parse_errors(rejections: DataFrame, records: DataFrame) -> DataFrame:
     return got.join(records.select("recid", "title"), "recid", "left")
 
 
+def reclaim(files: DataFrame, status: DataFrame, dirs: DataFrame) -> DataFrame:
+    """(tier, files, bytes): what may go, by the status of the nearest folder; files under a kept folder never do.
+
+    ``files``: recid, path, size; ``status``: dir, status; ``dirs``: dir, keep."""
+    from provlake.operators.dataset import nearest_ancestor, reclaimable
+
+    near = nearest_ancestor(files.select("path", "size"), status, "status")
+    free = reclaimable(files.select("path"), dirs).withColumn("free", F.lit(True))
+    tier = F.when(F.col("free").isNull(), "protected").when(F.col("status") == "parsed", "safe").when(F.col("status") == "pending", "later").otherwise("review")
+    return near.join(free, "path", "left").groupBy(tier.alias("tier")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
+
+
 def funnel(keep: int, fetched: int, rejected: int, in_dataset: int, failed: int, units: int, parsed: int, unit_rejects: int) -> dict[str, bool]:
     return {"keep": keep == fetched + rejected, "fetched": fetched == in_dataset + failed, "units": units == parsed + unit_rejects}
 

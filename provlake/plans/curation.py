@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from provlake.functions import files, physics, records
+from provlake.functions import physics, records
 from provlake.operators import aggregate as agg
 from provlake.operators import dataset as ds
 from provlake.operators import keys, report
@@ -21,29 +21,6 @@ def pick(key: str, values: list):
     return F.get(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values)).cast("int"))
 
 
-NAMES = ["run/vasprun.xml", "run/OUTCAR.gz", "data.tar.gz", "a/POSCAR", "CHGCAR", "x/__MACOSX/._OUTCAR", "set.zip", "notes.txt.xz", "DOSCAR.bz2", "part.7z.001", "vaspout.h5", "wavecar"]
-
-
-@query("""SELECT name, ext, calc, prim, wanted, junk, multipart, archive, role, heavy, count(*) AS n FROM part JOIN (VALUES
- (0, 'run/vasprun.xml', '.xml', true, true, true, false, false, NULL, 'vasprun', NULL), (1, 'run/OUTCAR.gz', '.gz', true, true, true, false, false, NULL, 'outcar', NULL),
- (2, 'data.tar.gz', '.tar.gz', false, false, false, false, false, 'tar', NULL, NULL), (3, 'a/POSCAR', '', true, false, true, false, false, NULL, 'poscar', NULL),
- (4, 'CHGCAR', '', false, false, false, false, false, NULL, NULL, 'charge_density'), (5, 'x/__MACOSX/._OUTCAR', '._outcar', true, true, true, true, false, NULL, 'outcar', NULL),
- (6, 'set.zip', '.zip', false, false, false, false, false, 'zip', NULL, NULL), (7, 'notes.txt.xz', '.xz', false, false, false, false, false, 'xz', NULL, NULL),
- (8, 'DOSCAR.bz2', '.bz2', true, false, false, false, false, 'bz2', NULL, 'dos'), (9, 'part.7z.001', '.001', false, false, false, false, true, NULL, NULL, NULL),
- (10, 'vaspout.h5', '.h5', true, true, true, false, false, NULL, 'vaspout', NULL), (11, 'wavecar', '', false, false, false, false, false, NULL, NULL, 'wavefunction')
-) v(i, name, ext, calc, prim, wanted, junk, multipart, archive, role, heavy) ON i = p_partkey % 12 GROUP BY ALL""")
-def name_rules(t):
-    c = F.col("name")
-    cols = {"ext": files.extension(c), "calc": files.is_calc_name(c), "prim": files.is_primary_name(c), "wanted": files.is_fetch_name(c), "junk": files.is_junk(c), "multipart": files.is_multipart(c), "archive": files.archive_kind(c), "role": files.role(c), "heavy": files.heavy_kind(c)}
-    return t("part").select(pick("p_partkey", NAMES).alias("name")).groupBy("name").agg(F.count("*").alias("n")).withColumns(cols)
-
-
-@query("""SELECT CASE p_partkey % 4 WHEN 0 THEN 'vasp_direct' WHEN 1 THEN 'archive' WHEN 2 THEN 'processed_atomistic' ELSE 'unlikely' END AS category, CASE p_partkey % 4 WHEN 0 THEN 4 WHEN 1 THEN 3 WHEN 2 THEN 2 ELSE 0 END AS rank, count(*) AS n FROM part GROUP BY 1, 2""")
-def listing_category(t):
-    names = F.split(pick("p_partkey", ["OUTCAR,a.zip", "a.zip,POSCAR", "x.cif,INCAR", "README.md"]), ",")
-    return t("part").select(files.classify(names).alias("c")).groupBy("c.category", "c.rank").agg(F.count("*").alias("n"))
-
-
 @query("SELECT CASE WHEN o_orderkey % 7 <> 0 THEN '10.' || (1000 + o_custkey % 50) || '/abc.' || (o_orderkey % 10) END AS doi, count(*) AS n FROM orders GROUP BY 1")
 def doi_rules(t):
     text = F.when(F.col("o_orderkey") % 7 == 0, "no id").otherwise(F.format_string("https://doi.org/10.%d/ABC.%d..", 1000 + F.col("o_custkey") % 50, F.col("o_orderkey") % 10))

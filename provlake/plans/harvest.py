@@ -12,27 +12,6 @@ from provlake.plans.relational import ORACLES as _SQL
 from provlake.plans.relational import query
 
 
-@query("""SELECT CASE WHEN p_size <= 2 THEN 'HF' WHEN p_size <= 5 THEN 'PBEO or other Hybrid Functional' WHEN p_brand = 'Brand#11' THEN 'SCAN' WHEN p_type LIKE 'PROMO%' THEN 'PBE' ELSE 'unknown' END
- || CASE WHEN p_partkey % 3 = 0 THEN '+U' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN '+vdW-DFT-D3' ELSE '' END AS run_type, count(*) AS n FROM part GROUP BY 1""")
-def classify_runtype(t):
-    p = t("part")
-    rt = physics.run_type(
-        F.col("p_size") <= 5, F.when(F.col("p_size") <= 2, 1.0).otherwise(0.25), F.lit(0.0), F.when(F.col("p_brand") == "Brand#11", "SCAN"),
-        F.when(F.col("p_type").startswith("PROMO"), "PE"), F.col("p_partkey") % 3 == 0, F.when(F.col("p_partkey") % 5 == 0, 11), F.lit(False),
-    )
-    return p.select(rt.alias("run_type")).groupBy("run_type").agg(F.count("*").alias("n"))
-
-
-@query("""SELECT source, value, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'incar' WHEN o_orderkey % 3 = 0 THEN 'parameters' WHEN o_orderkey % 5 = 0 THEN 'unknown' WHEN o_orderstatus = 'F' THEN 'derived:run_type' ELSE 'default' END AS source,
- CASE WHEN o_orderkey % 4 = 0 THEN 'false' WHEN o_orderkey % 3 = 0 THEN 'true' WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS value FROM orders) GROUP BY 1, 2""")
-def resolver(t):
-    k, none = F.col("o_orderkey"), F.create_map().cast("map<string,string>")
-    incar = F.when(k % 4 == 0, F.create_map(F.lit("LHFCALC"), F.lit("false"))).when((k % 3 != 0) & (k % 5 == 0), F.lit(None)).otherwise(none)
-    par = F.when(k % 3 == 0, F.create_map(F.lit("LHFCALC"), F.lit("true"))).otherwise(none)
-    r = physics.resolve("LHFCALC", incar, par, F.when(F.col("o_orderstatus") == "F", "HSE06").otherwise("PBE"))
-    return t("orders").select(r.alias("r")).groupBy("r.source", "r.value").agg(F.count("*").alias("n"))
-
-
 @query("""SELECT verdict, count(*) AS n FROM (SELECT CASE WHEN l_linenumber <= 1 THEN true WHEN l_linenumber = 2 AND l_quantity < 25 THEN true WHEN l_linenumber = 2 THEN false ELSE l_quantity < l_linenumber * 10 END AS verdict FROM lineitem) GROUP BY 1""")
 def ionic_rule(t):
     n, q = F.col("l_linenumber"), F.col("l_quantity").cast("int")

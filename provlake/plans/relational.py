@@ -29,8 +29,7 @@ def cents(c):
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) rn FROM events) WHERE rn = 1")
 def newest_per_concept(t):
-    # an aggregate, not a sort: event_id is unique, so no tie needs a rule
-    return t("events").groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), "event_id").alias("r")).select("user_id", "r.*")
+    return keys.newest_per_key(t("events").select("user_id", "event_id", "event_type"), "user_id", F.col("event_id"), "event_id")
 
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY 1, 2")
@@ -238,11 +237,13 @@ def last_of_sequence(t):
     return c.select("conv_id", "r.turn", "r.text")
 
 
-@query("SELECT source, sha1(string_agg(sha1(text), '' ORDER BY doc_id)) AS print, count(*) AS n FROM documents GROUP BY 1")
+@query("""SELECT source, sha1(string_agg(h, '' ORDER BY block)) AS print, sum(n)::BIGINT AS n FROM (SELECT source, doc_id // 1000 AS block, sha1(string_agg(sha1(text), '' ORDER BY doc_id)) AS h, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY 1""")
 def fingerprint(t):
-    # hashes are gathered, never the texts
-    d = t("documents").select("source", F.struct("doc_id", F.sha1("text").alias("h")).alias("x")).groupBy("source").agg(F.array_sort(F.collect_list("x")).alias("a"), F.count("*").alias("n"))
-    return d.select("source", F.sha1(F.array_join(F.transform("a", lambda x: x["h"]), "")).alias("print"), "n")
+    # a tree of ordered hashes: a task holds the hashes of one block of ids, then one hash per block
+    joined = lambda a: F.sha1(F.array_join(F.transform(F.array_sort(a), lambda x: x["h"]), ""))
+    d = t("documents").select("source", F.floor(F.col("doc_id") / 1000).alias("block"), F.struct("doc_id", F.sha1("text").alias("h")).alias("x"))
+    blocks = d.groupBy("source", "block").agg(joined(F.collect_list("x")).alias("h"), F.count("*").alias("n"))
+    return blocks.groupBy("source").agg(joined(F.collect_list(F.struct("block", "h"))).alias("print"), F.sum("n").alias("n"))
 
 
 @query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 4) AS norm FROM embeddings")

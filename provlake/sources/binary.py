@@ -102,20 +102,38 @@ def frame_meta(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_meta, "shard string, frame_id string, calc_id string, symbols array<string>, truncated boolean")
 
 
+def _atoms(atoms: list[str]) -> tuple[list, list, list | None]:
+    """Symbols, positions and forces of a frame's atom lines; ValueError if one is torn."""
+    cells = [a.split() for a in atoms]
+    if any(len(c) < 4 or len(c) != len(cells[0]) for c in cells):
+        raise ValueError("torn line")
+    return [c[0] for c in cells], [[float(x) for x in c[1:4]] for c in cells], [[float(x) for x in c[4:7]] for c in cells] if cells and len(cells[0]) >= 7 else None
+
+
 def _full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     num = lambda t, k: float(t[k]) if k in t else None
     for b in batches:
         for path, data in zip(b["path"], b["content"]):
-            raw, _ = salvage(data) if path.endswith(".gz") else (data, False)
+            raw, cut = salvage(data) if path.endswith(".gz") else (data, False)
+            blocks, torn = frame_blocks(raw.decode("utf-8", "replace"))
             rows = []
-            for head, atoms in frame_blocks(raw.decode("utf-8", "replace"))[0]:
-                t, cells = header_tokens(head), [a.split() for a in atoms]
-                rows.append((t.get("frame_id"), t.get("calc_id"), int(t["ionic_step"]) if "ionic_step" in t else None, [c[0] for c in cells], [[float(x) for x in c[1:4]] for c in cells], [[float(x) for x in c[4:7]] for c in cells] if cells and len(cells[0]) >= 7 else None, num(t, "REF_energy"), num(t, "E_free"), {"T": True, "F": False}.get(t.get("electronic_converged")), num(t, "scf_dE")))
-            yield pd.DataFrame(rows, columns=["frame_id", "calc_id", "ionic_step", "symbols", "positions", "forces", "ref_energy", "e_free", "electronic_converged", "scf_de"])
+            for head, atoms in blocks:
+                t = header_tokens(head)
+                try:
+                    rows.append((path, t.get("frame_id"), t.get("calc_id"), int(t["ionic_step"]) if "ionic_step" in t else None, *_atoms(atoms), num(t, "REF_energy"), num(t, "E_free"), {"T": True, "F": False}.get(t.get("electronic_converged")), num(t, "scf_dE")))
+                except ValueError:  # the frame at the cut: what follows is lost
+                    torn = True
+                    break
+            out = pd.DataFrame(rows or [(path, *[None] * 10)], columns=["shard", "frame_id", "calc_id", "ionic_step", "symbols", "positions", "forces", "ref_energy", "e_free", "electronic_converged", "scf_de"])
+            out["truncated"] = cut or torn
+            yield out
 
 
 def frames(files: DataFrame) -> DataFrame:
-    return files.select("path", "content").mapInPandas(_full, "frame_id string, calc_id string, ionic_step int, symbols array<string>, positions array<array<double>>, forces array<array<double>>, ref_energy double, e_free double, electronic_converged boolean, scf_de double")
+    """Whole frames up to the first torn one, and whether their shard was cut off; a shard without any gives one row of nulls."""
+    return files.select("path", "content").mapInPandas(
+        _full, "shard string, frame_id string, calc_id string, ionic_step int, symbols array<string>, positions array<array<double>>, forces array<array<double>>, ref_energy double, e_free double, electronic_converged boolean, scf_de double, truncated boolean"
+    )
 
 
 def write_frames(df: DataFrame, path: str, per_file: int = 10_000) -> None:
@@ -123,6 +141,23 @@ def write_frames(df: DataFrame, path: str, per_file: int = 10_000) -> None:
     df.write.mode("append").option("maxRecordsPerFile", per_file).parquet(path)
 
 
+def frame_text(df: DataFrame) -> DataFrame:
+    """(value): each frame as text: number of atoms, a header of its columns, a line per atom."""
+    num = lambda x: F.format_string("%.8f", x)
+    vec = lambda v: F.concat_ws(" ", F.transform(v, num))
+    forces = F.coalesce(F.col("forces"), F.transform("positions", lambda _: F.array().cast("array<double>")))
+    atoms = F.transform(F.arrays_zip(F.col("symbols").alias("s"), F.col("positions").alias("p"), forces.alias("f")), lambda a: F.trim(F.concat_ws(" ", a["s"], vec(a["p"]), vec(a["f"]))))
+    kinds = F.concat(F.lit("species:S:1:pos:R:3"), F.when(F.col("forces").isNotNull(), ":forces:R:3").otherwise(""))
+    said = {"calc_id": F.col("calc_id"), "frame_id": F.col("frame_id"), "ionic_step": F.col("ionic_step").cast("string"), "REF_energy": F.col("ref_energy").cast("string"), "E_free": F.col("e_free").cast("string"), "electronic_converged": F.when(F.col("electronic_converged"), "T").when(~F.col("electronic_converged"), "F"), "scf_dE": F.col("scf_de").cast("string")}
+    quoted = [F.when(c.isNotNull(), F.concat(F.lit(f'{k}="' if k.endswith("_id") else f"{k}="), c, F.lit('"' if k.endswith("_id") else ""))) for k, c in said.items()]
+    return df.select(F.concat_ws("\n", F.size("symbols").cast("string"), F.concat_ws(" ", F.concat(F.lit("Properties="), kinds), *quoted), F.concat_ws("\n", atoms)).alias("value"))
+
+
+def write_frame_text(df: DataFrame, path: str, per_file: int = 10_000) -> None:
+    """Frames as gzip text files of at most ``per_file`` frames; a file is there whole or not at all."""
+    frame_text(df).write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+
+
 def zip_members(data: bytes) -> list[tuple] | None:
     """(name, method, compressed, uncompressed, crc, offset, flag, zip64) from the tail of a zip; None if unreadable."""
     at = data.rfind(b"PK\x05\x06")
@@ -187,28 +222,30 @@ def read_member(data: bytes, name: str) -> bytes | None:
         return None
 
 
-def gzip_size(content: Column, wrap_guard: int = 10) -> Column:
-    """Uncompressed size from the trailer; ten times the file where that is smaller than the file (the field wrapped)."""
-    n = F.length(content)
-    tail = F.hex(F.substring(content, -4, 4))
-    size = F.conv(F.concat(*[F.substring(tail, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
-    return F.when(n < 18, F.lit(None).cast("long")).when(size < n, n * wrap_guard).otherwise(size)
+def trailer_size(tail: Column) -> Column:
+    """The little-endian number in the last four bytes of a gzip file."""
+    digits = F.hex(tail)
+    return F.conv(F.concat(*[F.substring(digits, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
 
 
-def header_lines(text: str, most: int = 20_000) -> list[str]:
-    """Lines before the first iteration marker, ``most`` at the most."""
-    import re
+def expanded_size(path: Column, size: Column, tail: Column) -> Column:
+    """Bytes a file holds: for gzip the larger of its size and its trailer's, 4 GiB where a file of 512 MiB or more says less than its own size."""
+    said = trailer_size(tail)
+    gz = F.lower(path).endswith(".gz") & (F.length(tail) == 4)
+    return F.when(gz & (size >= 1 << 29) & (said < size), F.greatest(size, F.lit(1 << 32))).when(gz, F.greatest(size, said)).otherwise(size)
 
-    out = []
-    for line in text.split("\n")[:most]:
-        if re.search(r"Iteration\s+1\(\s*1\)", line):
-            break
-        out.append(line)
-    return out
+
+def gzip_size(path: Column, content: Column) -> Column:
+    return expanded_size(path, F.length(content).cast("long"), F.substring(content, -4, 4))
 
 
 def shard_paths(files: DataFrame) -> DataFrame:
-    """Shards by the number in their name; the next free number is max + 1."""
+    """Shards by the number in their name."""
     from provlake.operators.dataset import shard_index
 
     return files.select("path", shard_index(F.col("path")).alias("index")).where("index is not null").orderBy("index")
+
+
+def next_index(files: DataFrame) -> DataFrame:
+    """One row: the first free shard number."""
+    return shard_paths(files).agg((F.coalesce(F.max("index"), F.lit(-1)) + 1).alias("next"))

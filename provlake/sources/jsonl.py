@@ -3,47 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
-
-
-class _Lines(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.paths = [p for p in options["paths"].split("\n") if p]
-
-    def partitions(self):
-        return [_File(p) for p in self.paths]
-
-    def read(self, part):
-        with open(part.path, encoding="utf-8", errors="replace") as f:
-            for n, line in enumerate(f):
-                if line.strip():
-                    yield part.path, n, line.rstrip("\n")
-
-
-class PositionedLines(DataSource):
-    """(file, line_no, value) of each non-blank line; for local or mounted files."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "positioned_lines"
-
-    def schema(self) -> str:
-        return "file string, line_no long, value string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Lines(self.options)
 
 
 def positioned(spark: SparkSession, paths: list[str]) -> DataFrame:
-    spark.dataSource.register(PositionedLines)
-    return spark.read.format("positioned_lines").option("paths", "\n".join(paths)).load()
+    """(file, line_no, value) of each non-blank line, from any file system that Spark reads.
+
+    A split's place in its file and the order of rows within the split give the order of lines; numbering them is one
+    window per file.
+    """
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_i"))
+    n = (F.row_number().over(W.partitionBy("file").orderBy("_at", "_i")) - 1).cast("long")
+    return text.withColumn("line_no", n).where(F.trim("value") != "").select("file", "line_no", "value")
 
 
 def read_jsonl(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -73,3 +46,8 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
 def write_rejections(rejected: DataFrame, path: str) -> None:
     """Rejection rows (stage, id, reason and open detail) are only ever added."""
     rejected.write.mode("append").json(path)
+
+
+def write_metadata(df: DataFrame, path: str) -> None:
+    """Metadata rows are only ever added; nulls stay written, so rows keep one shape."""
+    df.write.mode("append").option("ignoreNullFields", "false").json(path)

@@ -27,7 +27,9 @@ def test_classify(spark):
 
 
 def test_archive_kinds(spark):
-    assert values(spark, ["a.zip", "a.tar.gz", "a.7z", "a.tar.zst", "a.gz", "OUTCAR.gz", "a.txt"], files.archive_kind) == ["zip", "tar", "7z", "tar.zst", "gz", None, None]
+    assert values(spark, ["a.zip", "a.tar.gz", "a.7z", "a.tar.zst", "a.gz", "OUTCAR.gz", "a.txt"], files.archive_kind) == ["zip", "tar", "sevenzip", "tarzst", "tar", None, None]
+    assert values(spark, ["data-raw.gz", "x.zst", "OUTCAR.zst"], files.archive_kind) == ["tar", "tarzst", None]
+    assert values(spark, ["a.gz", "a.tgz"], lambda c: files.archive_kind(c, bare=False)) == [None, "tar"]
 
 
 def test_paths(spark):
@@ -36,7 +38,11 @@ def test_paths(spark):
 
 def test_heavy_and_roles(spark):
     assert values(spark, ["d/CHGCAR.gz", "WAVECAR", "xCHGCAR", "ELFCAR"], files.heavy_kind) == ["charge_density", "wavefunction", None, "elf"]
+    assert values(spark, ["CHGCAR1", "parchg_2", "AECCAR0"], files.heavy_kind) == ["charge_density"] * 3
     assert values(spark, ["vasprun_1.xml.gz", "vasprun.txt", "OUTCAR", "INCAR"], files.role) == ["vasprun", None, "outcar", "incar"]
+    assert values(spark, ["myoutcar.txt", "vasprun.xml.zst", "a-OUTCAR", "Si.vasprun.relax.xml"], files.role) == [None, "vasprun", "outcar", "vasprun"]
+    assert values(spark, ["site1.v2_OUTCAR", "vasprun.xml", "vasprun_1.xml", "x/OUTCAR.gz"], files.unit_tag) == ["site1.v2", "", "1", ""]
+    assert values(spark, ["x.7z.001", "x.001", "x.z01", "x.part1.rar", "x.r00"], files.is_multipart) == [False, False, True, True, True]
 
 
 def test_licences(spark):
@@ -62,7 +68,7 @@ def test_record_id(spark):
     [
         ((True, 1.0, None, None, None, False, None), "HF"), ((True, 0.25, 0.3, None, None, False, None), "HSE03"), ((True, 0.25, 0.2, None, "PE", True, None), "HSE06+U"),
         ((True, 0.2, None, None, None, False, None), "B3LYP"), ((True, 0.25, None, None, None, False, None), "PBEO or other Hybrid Functional"), ((False, None, None, "R2SCAN", "PE", False, None), "R2SCAN"),
-        ((False, None, None, "--", "PS", False, 12), "PBEsol+vdW-DFT-D3-BJ"), ((False, None, None, None, "ZZ", True, 99), "ZZ+U+vdW-unknown"), ((None, None, None, None, None, None, None), "unknown"), ((False, None, None, None, "PE", False, 0), "PBE"),
+        ((False, None, None, "--", "PS", False, 12), "PBEsol+vdW-DFT-D3-BJ"), ((False, None, None, None, "ZZ", True, 99), "ZZ+U+vdW-unknown"), ((None, None, None, None, None, None, None), "unknown"), ((False, None, None, None, "PE", False, 0), "PBE+vdW-no-correction"), ((False, 0.25, 0.2, None, "PE", False, None), "HSE06"), ((False, None, None, ".FALSE.", "PE", False, None), "PBE"),
     ],
 )
 def test_run_type(spark, args, want):
@@ -77,7 +83,7 @@ def test_run_type(spark, args, want):
     [
         ("LREAL", {"LREAL": "true"}, {"LREAL": "false"}, "PBE", ("true", "incar")), ("LREAL", {}, {"LREAL": "x"}, "PBE", ("x", "parameters")), ("LHFCALC", {}, {}, "HSE06", ("true", "derived:run_type")),
         ("LDAU", {}, {}, "PBE+U", ("true", "derived:run_type")), ("NKRED", {}, {}, "PBE", ("1", "default")), ("NKRED", None, {}, "PBE", (None, "unknown")), ("ENCUT", {}, {}, "PBE", (None, "unknown")),
-        ("AEXX", {}, {}, "HSE03", ("0.25", "derived:run_type")), ("AEXX", {}, {}, "PBE", (None, "not_applicable")),
+        ("AEXX", {}, {}, "HSE03", ("0.25", "derived:run_type")), ("AEXX", {"LHFCALC": "false"}, {}, "HSE03", (None, "not_applicable")), ("HFSCREEN", {}, {"LHFCALC": "T"}, "PBE", (None, "unknown")), ("ISIF", {}, {}, "PBE", (None, "unknown")), ("AEXX", {}, {}, "PBE", (None, "not_applicable")),
     ],
 )
 def test_resolver(spark, tag, incar, par, run, want):
@@ -113,3 +119,50 @@ def test_parameters(spark):
     assert df.select(physics.parameter_lines(F.col("t"))).first()[0] == {"ENCUT": "500", "ISMEAR": "0", "SIGMA": "0.1"}
     assert values(spark, ["3*0.5 1"], physics.repeat_tokens) == [["0.5", "0.5", "0.5", "1"]]
     assert [v.kind for v in values(spark, ["T", "12", "1.5D-3", "Normal", ".FALSE."], physics.coerce)] == ["boolean", "integer", "decimal", "text", "boolean"]
+
+
+def test_last_words_of_run_types(spark):
+    lit = lambda x, k: F.lit(x).cast(k)
+    none = [lit(None, "double")] * 2
+    got = spark.range(1).select(
+        physics.run_type(F.lit(False), *none, lit(None, "string"), lit(None, "string"), F.lit(False), lit(None, "int"), F.lit(False), F.lit(True)),
+        physics.run_type(F.lit(False), *none, lit(None, "string"), F.lit("PE"), F.lit(True), lit(11, "int"), F.lit(True)),
+        physics.computes_stress(lit(0, "int")), physics.computes_stress(lit(None, "int")),
+    ).first()
+    assert got[:2] == ("LDA", "PBE+U+rVV10") and tuple(got[2]) == (False, "derived:stress") and tuple(got[3]) == (None, "unknown")
+
+
+HEADER = """ vasp.6.4.2 build
+ INCAR:
+   encut = 450 # eV
+   LDAU = .TRUE.; LDAUU = 4.0 0.0
+   SYSTEM = two words
+   ENCUT = 500
+ POTCAR:    PAW_PBE Fe 06Sep2000
+   LEXCH  = PE
+ Startparameter for this run:
+   NELM = 40; NELMIN= 2
+   GGA = PE ; AEXX = 0.0
+   LEXCH  =     8
+   UNKNOWN = 3
+ Iteration   1(   1)
+   GGA = PS
+"""
+
+
+def test_headers(spark):
+    from provlake.functions import headers
+
+    df = spark.createDataFrame([(HEADER,), ("nothing",), (None,)], "text string")
+    rows = headers.calc_parameters(df, "text").select(headers.header(F.col("text")).alias("h"), "calc_parameters.*").collect()
+    r = rows[0]
+    assert r.code_version == "6.4.2" and r.run_type == "PBE+U" and r.encut == 500.0 and r.incar["SYSTEM"] == "two words" and r.hubbard_u["LDAUU"] == "4.0 0.0"
+    assert r.parameters == {"NELM": "40", "NELMIN": "2", "GGA": "PE", "AEXX": "0.0"} and r.xc_lexch == ["PE"] and r.potcar_symbols == ["PAW_PBE Fe 06Sep2000"] and len(r.h) == 13
+    assert rows[1].run_type == "unknown" and rows[1].incar == {} and rows[1].parameters == {} and rows[1].potcar_set_hash is None
+    two = headers.titles(F.col("text"))
+    assert spark.createDataFrame([("   TITEL  = PAW_PBE O 08Apr2002\n POTCAR: x\n TITEL = A\n TITEL = A",)], "text string").select(two).first()[0] == ["PAW_PBE O 08Apr2002", "A"]
+
+
+def test_lists_of_tokens(spark):
+    got = values(spark, ["4.0 0.0", "T 2", "two words", ""], physics.coerce_list)
+    assert [g.numbers for g in got] == [[4.0, 0.0], [1.0, 2.0], None, None] and got[2].text == "two words"

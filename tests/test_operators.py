@@ -132,7 +132,12 @@ def test_zip_directory(spark, tmp_path):
 
 def test_gzip_size(spark, tmp_path):
     (tmp_path / "x.gz").write_bytes(gzip.compress(b"a" * 70000))
-    assert binary.binary(spark, f"file://{tmp_path}").select(binary.gzip_size(F.col("content"))).first()[0] > 699
+    (tmp_path / "y.bz2").write_bytes(b"12345")
+    (tmp_path / "z.gz").write_bytes(b"ab")
+    got = {r[0].rsplit("/", 1)[1]: r[1] for r in binary.binary(spark, f"file://{tmp_path}").select("path", binary.gzip_size(F.col("path"), F.col("content"))).collect()}
+    assert got == {"x.gz": 70000, "y.bz2": 5, "z.gz": 2}
+    wrapped = spark.createDataFrame([("a.gz", 1 << 29, bytearray(b"\x01\x00\x00\x00")), ("a.gz", 1000, bytearray(b"\x01\x00\x00\x00"))], "p string, n long, t binary")
+    assert [r[0] for r in wrapped.select(binary.expanded_size(F.col("p"), F.col("n"), F.col("t"))).collect()] == [1 << 32, 1000]
 
 
 def test_windows_and_batches():
