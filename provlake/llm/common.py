@@ -39,22 +39,41 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: What ``cut`` has written in this process, the oldest first.
+_WRITTEN: list[str] = []
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write and reread: later jobs start from files that survive a lost executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def drop_cut(*frames: DataFrame) -> None:
     """Delete what ``cut`` wrote, once no later plan reads it."""
     for df in frames:
-        spark = df.sparkSession
-        jvm = spark._jvm
         for f in {os.path.dirname(x) for x in df.inputFiles()}:
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(df.sparkSession, f)
+
+
+def settled(spark: SparkSession, since: int, df: DataFrame) -> DataFrame:
+    """``df``, itself written by ``cut``, after all that was written from number ``since`` on before it is deleted."""
+    for path in _WRITTEN[since:-1]:
+        _delete(spark, path)
+    _WRITTEN[since:-1] = []
+    return df
+
+
+def written() -> int:
+    return len(_WRITTEN)
 
 
 def shards_for(rows: int, each: int, least: int = 1) -> int:

@@ -26,15 +26,18 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from provlake.llm import range_coder
-from provlake.llm.common import doc_columns, shared_dir, small, steps, table
+from provlake.llm.common import cut, doc_columns, shared_dir, small, steps, table
 from provlake.llm.op2_bpe import ODD_SPACE, vocabulary
 
 END = 1
 SEGMENT = 8_000_000
 PART_BYTES = 24 << 20
+#: Segments whose starts (24 bytes each) are broadcast.
+BROADCAST = 2_000_000
 _NAMES = ["doc_ids", "doc_lens", "prior", "block_lens", "block_crcs", "blocks"]
 _KINDS = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
 _SCHEMA = "doc_ids array<long>, doc_lens array<long>, prior binary, block_lens array<long>, block_crcs array<long>, blocks array<binary>"
@@ -174,20 +177,14 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_files(spark: SparkSession, target: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
     files = spark.read.parquet(target)
-    # a row per segment: its number of ids and the ids before it; part totals are one number per part
+    # a row per segment: its number of ids; then what stands before it, in its part and in the parts before
     sums = files.select("part", "segment", F.expr("aggregate(doc_lens, 0L, (a, x) -> a + x)").alias("n"))
-    parts = sums.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
-    before, run = [], 0
-    for p in parts:
-        before.append((p.part, run))
-        run += p.n
-    if not before:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    base = spark.createDataFrame(before, "part int, base long")
-    inner = F.expr("aggregate(filter(segs, s -> s.segment < segment), 0L, (a, s) -> a + s.n)")
-    segs = sums.groupBy("part").agg(F.collect_list(F.struct("segment", "n")).alias("segs"))
-    at = base.join(segs, "part")
-    rows = files.join(F.broadcast(at), "part").select((F.col("base") + inner).alias("start"), *_NAMES)
+    parts = sums.groupBy("part").agg(F.sum("n").alias("n"))
+    base = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))  # one row per PART_BYTES of text
+    inner = F.sum("n").over(W.partitionBy("part").orderBy("segment")) - F.col("n")
+    at = cut(sums.withColumn("inner", inner).join(base, "part").select("part", "segment", (F.col("base") + F.col("inner")).alias("start")), "op6-starts")
+    few = at.count() <= BROADCAST
+    rows = files.join(F.broadcast(at) if few else at, ["part", "segment"]).select("start", *_NAMES)
     return rows.mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
