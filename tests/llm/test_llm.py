@@ -430,6 +430,61 @@ def test_html_articles_and_boilerplate(spark):
     assert by[2] == "The title\nLaw" and by[3] == "Both"
 
 
+def brute_texts(rows, run=op7_html.RUN, most=op7_html.PAGES):
+    """What is left of each page when every run of tokens on so many pages of its host is sought by plain counting."""
+    parsed = []
+    for page_id, url, page in rows:
+        found = op7_html.blocks(page)
+        art = op7_html.article(found)
+        parsed.append(((url.split("/")[2], page_id, url), found, art, [t.split(" ") for t, *_ in found]))
+    on, whole = {}, {}
+    for (host, *page), _, _, stream in parsed:
+        for b in stream:
+            for i in range(len(b) - run + 1):
+                on.setdefault((host, tuple(b[i : i + run])), set()).add(tuple(page))
+            whole.setdefault((host, tuple(b)), set()).add(tuple(page))
+    out = []
+    for (host, page_id, _), found, art, stream in parsed:
+        left, all_gone = [], []
+        for b in stream:
+            gone = [False] * len(b)
+            for i in range(len(b) - run + 1):
+                if len(on[host, tuple(b[i : i + run])]) >= most:
+                    gone[i : i + run] = [True] * run
+            rest = [t for t, g in zip(b, gone) if not g]
+            if len(b) < run:
+                rest = [] if len(whole[host, tuple(b)]) >= most else b
+            elif any(gone) and len(rest) < run:
+                rest = []
+            left.append(" ".join(rest))
+            all_gone.append(all(gone))
+        if art is None:
+            out.append((page_id, "\n".join(x for x, (_, _, bad, _) in zip(left, found) if x and not bad)))
+            continue
+        gone = {i for i in art if all_gone[i] and not found[i][3]}
+        if 2 * sum(len(stream[i]) for i in gone) > sum(len(stream[i]) for i in art):
+            gone = set()
+        out.append((page_id, "\n".join(found[i][0] for i in art if i not in gone)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("part", [2_000, 1 << 20])
+def test_html_against_plain_counting(spark, part):
+    rng = random.Random(41)
+    lines = [words(rng.randint(2, 14), rng) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        blocks = [rng.choice(lines) if rng.random() < 0.4 else words(rng.randint(1, 25), rng) + (" " + rng.choice(lines) if rng.random() < 0.3 else "") for _ in range(rng.randint(1, 7))]
+        inner = "".join(f"<p>{b}</p>" for b in blocks)
+        page = f"<article><h1>{rng.choice(lines)}</h1>{inner}</article><footer>{lines[0]}</footer>" if i % 2 else f"<nav>{lines[1]}</nav><div>{inner}</div>"
+        rows.append((i, f"http://h{i % 3 if i % 5 else 0}/{i}", page))
+    rows += rows[:4]  # repeated rows are one page
+    got = op7_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), part).collect()
+    want = brute_texts(rows)
+    assert sorted((r.page_id, r.text) for r in got) == want
+    assert want != sorted((i, "\n".join(t for t, *_ in op7_html.blocks(p))) for i, _, p in rows)
+
+
 def test_html_keys():
     rng = np.random.RandomState(3)
     keys = np.unique(rng.randint(0, 1 << op7_html.KEY_BITS, 5000).astype(np.uint64))
@@ -473,6 +528,65 @@ def test_toxicity(spark, docs, empty):
     assert op10_toxicity.toxicity(df, labels.limit(0)).where("score > 0").count() == 0
 
 
+def test_toxicity_features():
+    """Each feature against its plain definition; long unbroken runs take no longer than other texts."""
+    f = op10_toxicity.Featurizer({"gruk": 3.0, "vlor-": 2.6, "meh": 1.0, "fool": 4.0})
+    text = "You GRUK!! vlorting meh, is F00L sooo f@@l? a.b.c.d x"
+    row = dict(zip(op10_toxicity.FEATURES, f.row(text)))
+    words_ = ["you", "gruk", "vlorting", "meh", "is", "f00l", "sooo", "f", "l", "a", "b", "c", "d", "x"]
+    assert row["log_words"] == np.log1p(len(words_))
+    # gruk, vlorting, f00l as fool, and once more each for the masked F00L and f@@l
+    assert row["strong_rate"] * len(words_) == pytest.approx(row["masked_hits"] + 3) and row["weight_max"] == 4.0 and row["mild_rate"] == 1 / len(words_)
+    assert row["second_rate"] == 1 / len(words_) and row["near_second"] > 0 and row["strong_any"] == 1
+    assert row["capital_rate"] == sum(c.isupper() for c in text) / len(text) and row["exclaim_rate"] == 2 / len(words_) and row["question_rate"] == 1 / len(words_)
+    assert row["digit_rate"] == 2 / len(text) and row["stretch_rate"] == 1 / len(words_) and row["punct_rate"] == sum(c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" for c in text) / len(text)
+    assert f.row(None) == f.row("") == f.row(" \n") == [0.0] * len(op10_toxicity.FEATURES)
+    import time
+
+    began = time.process_time()
+    for long in ("z" * 2_000_000, "ab@" * 300_000, "a " * 500_000, "A" * 1_000_000, "a.a." * 200_000):
+        assert len(f.row(long)) == len(op10_toxicity.FEATURES)
+    assert time.process_time() - began < 60
+
+
+def test_toxicity_trees():
+    """The first split is the best of all by exhaustive search, and scores are sums of the leaves that rows fall into."""
+    rng = np.random.RandomState(6)
+    x = rng.normal(size=(300, 4)).round(1)
+    y = ((x[:, 1] > 0.3) ^ (rng.uniform(size=300) < 0.1)).astype(float)
+    trees = op10_toxicity.Trees(rounds=5, depth=2).fit(x, y)
+    p = y.mean()
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    best = (-1.0, None, None)
+    for j in range(4):
+        for e in range(len(trees.edges[j])):
+            left = np.searchsorted(trees.edges[j], x[:, j], side="left") <= e
+            if min(left.sum(), (~left).sum()) >= trees.least:
+                gain = g[left].sum() ** 2 / (h[left].sum() + 1) + g[~left].sum() ** 2 / (h[~left].sum() + 1) - g.sum() ** 2 / (h.sum() + 1)
+                if gain > best[0] + 1e-12:
+                    best = (gain, j, e)
+    assert trees.trees[0][0][:3] == (0, best[1], best[2])
+    for row, score in zip(x[:50], trees.raw(x[:50])):
+        total = trees.base
+        for tree in trees.trees:
+            nodes, k = {t[0]: t for t in tree}, 0
+            while nodes[k][1] >= 0:
+                k = 2 * k + 1 + int(np.searchsorted(trees.edges[nodes[k][1]], row[nodes[k][1]], side="left") > nodes[k][2])
+            total += nodes[k][3]
+        assert score == pytest.approx(total)
+
+
+def test_toxicity_sample_is_exact(spark):
+    rng = random.Random(8)
+    rows = [(i, words(10, rng) + (" gruk you" if i % 4 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame([*rows, *rows[:50], (3, "another text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int").withColumns({"text": F.lit("clash"), "fold": F.lit(9)})
+    one = op10_toxicity.train(docs.repartition(7), labels, sample=150)
+    two = op10_toxicity.train(docs.orderBy(F.desc("text")), labels.repartition(3), sample=150)
+    texts = [t for _, t in rows]
+    assert one.features.lexicon == two.features.lexicon and (one.score(texts) == two.score(texts)).all()
+
+
 def test_isotonic():
     px, py = op10_toxicity.isotonic(np.array([1.0, 2, 2, 3, 4]), np.array([0.0, 1, 0, 0, 1]))
     assert list(np.interp([1, 2, 3, 4], px, py)) == [0, 1 / 3, 1 / 3, 1] and (np.diff(py) >= 0).all()
@@ -491,6 +605,31 @@ def test_pipeline(spark, tmp_path):
     assert 100 not in got and 5 not in got and 101 in got and len(got) == 60
 
 
+def test_pipeline_of_untidy_rows(spark, tmp_path):
+    """Null and repeated ids, empty and blank texts, repeated rows, clashing columns; then no rows at all."""
+    import corpus_pipeline
+    from provlake.llm import common
+
+    rng = random.Random(14)
+    texts = [words(90, rng) for _ in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, None), (7, ""), (8, "  \n"), (9, texts[4]), (9, texts[4]), (None, texts[5]), (None, texts[5]), (10, texts[6] + " " + "w" * 50_000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "a", "b", "c") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, fp string, spans string, row_key string")
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    for d in "ab":
+        spark.createDataFrame([(1, texts[1])], "item_id long, text string").write.parquet(f"{tmp_path}/{d}/benchmark.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{d}/labels.parquet")
+    before = common.written()
+    got = corpus_pipeline.run(spark, f"{tmp_path}/a").collect()
+    # one row of the empty texts, one of each repeated row; the benchmark's text goes
+    assert sorted(r.decoded for r in got) == sorted(["", texts[0], texts[2], texts[3], texts[4], texts[5], rows[-1][1]])
+    assert all(len(r.ids) == r.n_tokens for r in got) and common.written() == before + 1
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+    docs_ = spark.read.parquet(f"{tmp_path}/a/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs_, f"{tmp_path}/a").columns == docs_.columns
+
+
 def test_stages_tell_rows_apart(spark, tmp_path):
     rng = random.Random(12)
     a, b, c, d, e = (words(80, rng) for _ in range(5))
