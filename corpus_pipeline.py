@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from provlake.llm import op2_bpe, op3_substring, op4_simhash, op9_decontaminate, op10_toxicity
-from provlake.llm.common import cut, table
+from provlake.llm.common import cut, settled, table, written
 
 STAGES = [
     ("toxicity", op10_toxicity.stage),
@@ -20,8 +20,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each one's result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``; each one's result is written and read again, and what led to it deleted."""
+    docs, start = table(spark, sf_dir, "documents"), written()
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(spark, start, cut(stage(spark, docs, sf_dir), f"pipeline-{name}"))
     return docs
