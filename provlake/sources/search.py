@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
+import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 WINDOW, PAGE = 10_000, 25
 
@@ -60,3 +63,44 @@ def batches(sizes: list[int], most: int = 256, most_bytes: int = 256 << 20) -> l
         out.append(b)
         n, total = n + 1, total + s
     return out
+
+
+class _Window(InputPartition):
+    def __init__(self, start: int, end: int) -> None:
+        self.start, self.end = start, end
+
+
+class _Pages(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.client, self.start, self.end, self.most = options["client"], int(options["start"]), int(options["end"]), int(options.get("most", WINDOW))
+
+    def _made(self):
+        module, name = self.client.split(":")
+        return getattr(importlib.import_module(module), name)()
+
+    def partitions(self):
+        return [_Window(a, b) for a, b in windows(self._made().count, self.start, self.end, self.most)]
+
+    def read(self, part):
+        from provlake.sources.ranges import retrying
+
+        fetch = retrying(self._made().page)
+        for hit in pages(lambda n, size: fetch(part.start, part.end, n, size), self.most):
+            yield part.start, json.dumps(hit)
+
+
+class PagedSearch(DataSource):
+    """(window, hit): a search's hits as JSON text, a task for each window of time that the search can give whole.
+
+    ``client`` names a factory, ``module:function``, of an object with count(start, end) and page(start, end, number, size);
+    ``start`` and ``end`` are seconds, ``most`` the hits that one window may have."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_search"
+
+    def schema(self) -> str:
+        return "window long, hit string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Pages(self.options)

@@ -270,3 +270,29 @@ def test_progress_and_status(spark, tmp_path):
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "a.json").write_text('{"id": 1}\n{"id": 2}\n{"i')
     assert progress.appended(spark, f"file://{tmp_path}/m", "id int").count() == 2 and progress.appended(spark, f"file://{tmp_path}/no", "id int").count() == 0
+
+
+class Hits:
+    """An offline search: a hit every seven seconds; the second request fails once."""
+
+    tries = 0
+
+    def count(self, a, b):
+        return sum(1 for h in range(0, 1000, 7) if a <= h < b)
+
+    def page(self, a, b, number, size):
+        from provlake.sources.ranges import TooMany
+
+        Hits.tries += 1
+        if Hits.tries == 2:
+            raise TooMany(0.01)
+        return [{"id": h} for h in range(0, 1000, 7) if a <= h < b][(number - 1) * size : number * size]
+
+
+def test_paged_search(spark):
+    from provlake.sources import search
+
+    spark.dataSource.register(search.PagedSearch)
+    df = spark.read.format("paged_search").options(client="tests.test_stages:Hits", start="0", end="1000", most="40").load()
+    got = df.select("window", F.get_json_object("hit", "$.id").cast("int").alias("id")).collect()
+    assert sorted(r.id for r in got) == list(range(0, 1000, 7)) and len({r.window for r in got}) == 4
