@@ -25,7 +25,7 @@ def text(*parts):
 
 
 @query(f"""SELECT o_orderkey::VARCHAR AS recid, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey::VARCHAR ELSE 'c' || (o_orderkey % 40) END AS concept, 2 AS files_total, (o_custkey + CASE WHEN o_orderkey % 2 = 0 THEN 5 ELSE 0 END)::BIGINT AS bytes_total,
- CASE WHEN o_orderkey % 2 = 0 THEN ['dft', 'vasp'] ELSE [] END AS signals, CASE WHEN o_orderkey % 5 <> 0 THEN 'cc-by-4.0' END AS license FROM orders""")
+ CASE WHEN o_orderkey % 2 = 0 THEN 'dft,vasp' ELSE '' END AS signals, CASE WHEN o_orderkey % 5 <> 0 THEN 'cc-by-4.0' END AS license FROM orders""")
 def normal_hits(t):
     k = F.col("o_orderkey")
     link = F.struct(F.lit("u").alias("self"))
@@ -36,7 +36,7 @@ def normal_hits(t):
         F.when(k % 5 != 0, F.struct(F.lit("cc-by-4.0").alias("id"))).alias("license"), F.lit("open").alias("access_right"),
     )
     hit = F.struct(k.alias("id"), F.when(k % 3 != 0, text("c", k % 40)).alias("conceptrecid"), F.lit("2024").alias("created"), meta.alias("metadata"), F.array(f("OUTCAR", F.col("o_custkey")), f("a.zip", F.when(k % 2 == 0, 5))).alias("files"))
-    return t("orders").select(records.normalise_hit(hit).alias("c")).select("c.recid", "c.concept", "c.files_total", "c.bytes_total", "c.signals", "c.license")
+    return t("orders").select(records.normalise_hit(hit).alias("c")).select("c.recid", "c.concept", "c.files_total", "c.bytes_total", F.array_join("c.signals", ",").alias("signals"), "c.license")
 
 
 ACCESS, TYPES = ["open", "closed", None, "restricted"], ["dataset", "software", "publication"]
@@ -145,10 +145,10 @@ def oversized_primaries(t):
     return t("part").groupBy(F.size(fits).alias("kept"), (F.size(fits) == 0).alias("refused")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT state, count(*) AS n, list_sort((list(k ORDER BY k))[1:3]::VARCHAR[]) AS examples, true AS fatal FROM (SELECT coalesce(k1, k2) AS k, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'orphan' WHEN b > 1 THEN 'duplicate_on_disk' ELSE 'duplicate_in_meta' END AS state FROM
+@query("""SELECT state, count(*) AS n, array_to_string(list_sort((list(k ORDER BY k))[1:3]::VARCHAR[]), ',') AS examples, true AS fatal FROM (SELECT coalesce(k1, k2) AS k, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'orphan' WHEN b > 1 THEN 'duplicate_on_disk' ELSE 'duplicate_in_meta' END AS state FROM
  (SELECT o_orderkey k1, count(*) a FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY 1) FULL JOIN (SELECT l_orderkey k2, count(*) b FROM lineitem GROUP BY 1) ON k1 = k2 WHERE a IS NULL OR b IS NULL OR a > 1 OR b > 1) GROUP BY 1""")
 def integrity_report(t):
-    return ds.integrity(t("orders").where("o_orderkey % 9 <> 0").select(F.col("o_orderkey").alias("k")), t("lineitem").select(F.col("l_orderkey").alias("k")), "k", examples=3)
+    return ds.integrity(t("orders").where("o_orderkey % 9 <> 0").select(F.col("o_orderkey").alias("k")), t("lineitem").select(F.col("l_orderkey").alias("k")), "k", examples=3).withColumn("examples", F.array_join("examples", ","))
 
 
 @query("""WITH s AS (SELECT 0 AS source, 'shard-' || lpad((s_suppkey % 7)::VARCHAR, 5, '0') || '.extxyz.gz' AS old, s_suppkey % 7 AS i FROM supplier UNION SELECT 1, 'shard-' || lpad((n_nationkey % 4)::VARCHAR, 5, '0') || '.extxyz.gz', n_nationkey % 4 FROM nation)
@@ -390,10 +390,10 @@ def shown_bytes(t):
 WORDS = ["VASP runs", "a vasp and DFT study", "first-principles, First principles", "nothing here", "PAW plane waves", "plane-wave dft DFT"]
 
 
-@query(f"""SELECT t AS text, list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i)\\b(vasp|vasprun|outcar|incar|first[ -]principles|density[ -]functional|dft|ab[ -]initio|projector[ -]augmented|paw|plane[ -]wave)\\b', 1), lambda x: lower(x)))) AS signals, count(*) AS n FROM (SELECT {sql_at(WORDS, 'o_orderkey')} AS t FROM orders) GROUP BY ALL""")
+@query(f"""SELECT t AS text, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i)\\b(vasp|vasprun|outcar|incar|first[ -]principles|density[ -]functional|dft|ab[ -]initio|projector[ -]augmented|paw|plane[ -]wave)\\b', 1), lambda x: lower(x)))), ',') AS signals, count(*) AS n FROM (SELECT {sql_at(WORDS, 'o_orderkey')} AS t FROM orders) GROUP BY ALL""")
 def text_signals(t):
     x = t("orders").select(at(WORDS, F.col("o_orderkey")).alias("text"))
-    return x.select("text", records.metadata_signals(F.col("text")).alias("signals")).groupBy("text", "signals").agg(F.count("*").alias("n"))
+    return x.select("text", F.array_join(records.metadata_signals(F.col("text")), ",").alias("signals")).groupBy("text", "signals").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT l_orderkey AS k, sha1(string_agg(x, chr(10) ORDER BY l_linenumber, x))[1:16] AS print FROM (SELECT DISTINCT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'PAW H' WHEN 1 THEN 'PAW O' ELSE 'PAW Fe_pv' END AS x FROM lineitem WHERE l_linenumber % 4 <> 3) GROUP BY 1""")
@@ -403,14 +403,14 @@ def title_prints(t):
     return lists.select("k", records.pseudopotential_set(F.concat(F.array(F.lit("")), F.transform("a", lambda s: s["x"]))).alias("print"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN round(p_size + 0.123456789, 8) ELSE p_size + 0.5 END::DOUBLE AS energy, (p_size - p_partkey % 5)::DOUBLE AS ts, round(-0.1 * 0.006241509125883258 * (p_size + 3), 12) AS yz, round(p_size * 0.5 - 0.25, 6)::DOUBLE AS occ, CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 3 END AS runs FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN round(p_size + 0.123456789, 8) ELSE p_size + 0.5 END::DOUBLE AS energy, (p_size - p_partkey % 5)::DOUBLE AS ts, round(-0.1 * 0.006241509125883258 * (p_size + 3), 6) AS yz, round(p_size * 0.5 - 0.25, 6)::DOUBLE AS occ, CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 3 END AS runs FROM part""")
 def quantities(t):
     k, s = F.col("p_partkey"), F.col("p_size").cast("double")
     m = F.array(*[F.array(*[s + 3 * i + j - 2 for j in range(3)]) for i in range(3)])
     up, down = F.array(F.array(s, F.lit(1.0)), F.array(F.lit(0.5))), F.array(F.array(F.lit(0.5), F.lit(1.0)), F.array(F.lit(0.5)))
     names = F.when(k % 2 == 0, F.array(F.lit("H"), F.lit("H"), F.lit("O"))).otherwise(F.array(F.lit("H"), F.lit("O"), F.lit("H")))
     return t("part").select(
-        "p_partkey", physics.corrected_energy(s + 0.5, F.when(k % 2 == 0, s + 0.123456789).otherwise(s + 0.5)).alias("energy"), physics.entropy_term(s, (k % 5).cast("double")).alias("ts"), F.round(F.get(physics.stress_voigt(m), 3), 12).alias("yz"),
+        "p_partkey", physics.corrected_energy(s + 0.5, F.when(k % 2 == 0, s + 0.123456789).otherwise(s + 0.5)).alias("energy"), physics.entropy_term(s, (k % 5).cast("double")).alias("ts"), F.round(F.get(physics.stress_voigt(m), 3), 6).alias("yz"),
         physics.occupancy_moment(up, down, F.array(F.lit(0.5), F.lit(0.5))).alias("occ"), F.size(physics.species_runs(names)).alias("runs"),
     )
 
@@ -468,7 +468,7 @@ _HEAD = " vasp.6.%d.1 build\\n INCAR:\\n   ENCUT = %d ! eV\\n   ismear = 0; SIGM
 
 
 @query("""SELECT p_partkey AS k, '6.' || (p_partkey % 4) || '.1' AS code_version, CASE WHEN p_partkey % 2 = 0 THEN 'PBE' ELSE 'PBEsol' END || CASE WHEN p_partkey % 3 = 0 THEN '+U' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN '+vdW-DFT-D3' ELSE '' END AS run_type, (300 + p_size)::DOUBLE AS encut, 0.05::DOUBLE AS sigma, 1 + p_partkey % 2 = 2 AS spin,
- ['PAW_PBE Fe_pv 06Sep2000', 'PAW_PBE O 08Apr2002'] AS titles, ['PE'] AS lexch, (p_size + 1)::INT AS count, [4, 4, 1 + p_size % 3] AS points, CASE WHEN p_partkey % 3 = 0 THEN '4.0 0.0' END AS u, sha1('PAW_PBE Fe_pv 06Sep2000' || chr(10) || 'PAW_PBE O 08Apr2002')[1:16] AS print, 90 AS nelm, 5 AS effective, 18 + CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 0 END + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS lines FROM part""")
+ 'PAW_PBE Fe_pv 06Sep2000,PAW_PBE O 08Apr2002' AS titles, 'PE' AS lexch, (p_size + 1)::INT AS count, '4,4,' || (1 + p_size % 3) AS points, CASE WHEN p_partkey % 3 = 0 THEN '4.0 0.0' END AS u, sha1('PAW_PBE Fe_pv 06Sep2000' || chr(10) || 'PAW_PBE O 08Apr2002')[1:16] AS print, 90 AS nelm, 5 AS effective, 18 + CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 0 END + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS lines FROM part""")
 def header_parameters(t):
     k, s = F.col("p_partkey"), F.col("p_size")
     extra = F.concat(F.when(k % 3 == 0, "   LDAU = .TRUE.\n   LDAUU = 4.0 0.0\n").otherwise(""), F.when(k % 5 == 0, "   IVDW = 11\n").otherwise(""))
@@ -476,8 +476,8 @@ def header_parameters(t):
     got = headers.calc_parameters(t("part").select(k.alias("k"), head.alias("text")), "text")
     c = F.col("calc_parameters")
     return got.select(
-        "k", c["code_version"].alias("code_version"), c["run_type"].alias("run_type"), c["encut"].alias("encut"), c["sigma"].alias("sigma"), c["spin_polarized"].alias("spin"), c["potcar_symbols"].alias("titles"), c["xc_lexch"].alias("lexch"),
-        c["kpoints"]["count"].alias("count"), F.transform(c["kpoints"]["points"], lambda x: x.cast("int")).alias("points"), c["hubbard_u"]["LDAUU"].alias("u"), c["potcar_set_hash"].alias("print"), headers.max_steps(F.col("text")).alias("nelm"),
+        "k", c["code_version"].alias("code_version"), c["run_type"].alias("run_type"), c["encut"].alias("encut"), c["sigma"].alias("sigma"), c["spin_polarized"].alias("spin"), F.array_join(c["potcar_symbols"], ",").alias("titles"), F.array_join(c["xc_lexch"], ",").alias("lexch"),
+        c["kpoints"]["count"].alias("count"), F.array_join(c["kpoints"]["points"].cast("array<string>"), ",").alias("points"), c["hubbard_u"]["LDAUU"].alias("u"), c["potcar_set_hash"].alias("print"), headers.max_steps(F.col("text")).alias("nelm"),
         F.size(c["parameters"]).alias("effective"), F.size(headers.header(F.col("text"))).alias("lines"),
     )
 
