@@ -168,6 +168,46 @@ def calc_parameters(df: DataFrame, text: str) -> DataFrame:
     return got.withColumn("calc_parameters", block).drop("_own", "_eff", "_titles", "_hub", "_run")
 
 
+def is_magnetic(parameters: Column) -> Column:
+    """Whether a calculation carries magnetisation: spin-polarised, or a non-collinear flag on (the resolved one first)."""
+    flag = lambda k: physics.truthy(F.coalesce(F.element_at(parameters["parameters"], F.lit(k)), F.element_at(parameters["incar"], F.lit(k))))
+    return F.coalesce(parameters["spin_polarized"], F.lit(False)) | flag("LNONCOLLINEAR") | flag("LSORBIT")
+
+
+def electronic(df: DataFrame, text: str, table: Column | None = None) -> DataFrame:
+    """``df`` (with ``calc_parameters``) with ``electronic``: net moment and charge of an output text, and where they come from.
+
+    The moment is that of the last magnetisation line, zero for a run without spin that prints none.  The neutral number of
+    electrons takes the valences above the resolved block, or else a map of titles to valences; what isn't sure is null.
+    """
+    c, t = F.col("calc_parameters"), F.col(text)
+    none = F.array().cast("array<double>")
+    above = F.regexp_extract(t, rf"(?s)^(.*?)(?:\n[^\n]*{_START}|$(?!\n))", 1)
+    got = df.withColumns({
+        "_mags": F.coalesce(F.filter(physics.last_magnetisation(t), lambda x: x.isNotNull()), none),
+        "_zval": F.transform(F.regexp_extract_all(above, F.lit(r"POMASS\s*=\s*[\d.]+\s*;\s*ZVAL\s*=\s*([\d.]+)"), 1), lambda x: x.try_cast("double")),
+        "_ions": F.transform(F.filter(F.split(F.trim(F.regexp_extract(t, r"ions per type\s*=([ \d]+)", 1)), r"\s+"), lambda x: x != ""), lambda x: x.cast("double")),
+    })
+    flag = lambda k: physics.truthy(F.element_at(c["incar"], F.lit(k))) | physics.truthy(F.element_at(c["parameters"], F.lit(k)))
+    bare = ~F.coalesce(c["ispin"] == 2, F.lit(False)) & ~flag("LNONCOLLINEAR") & ~flag("LSORBIT")
+    n = F.size("_mags")
+    moment = F.when(n >= 3, physics.moment(F.slice("_mags", 1, 3))).when(n >= 1, F.round(F.get("_mags", 0), 6)).when(bare, 0.0)
+    source = F.when(n >= 3, "outcar_ncl").when(n >= 1, "outcar").when(bare, "nonmagnetic").otherwise("unavailable")
+    nelect = F.coalesce(number(F.element_at(c["parameters"], F.lit("NELECT"))), number(F.element_at(c["incar"], F.lit("NELECT"))))
+    own = F.when(F.size("_ions") > 0, physics.neutral_electrons(F.col("_ions"), F.col("_zval")))
+    known = F.lit(None).cast("double")
+    if table is not None:
+        zvals = F.transform(c["potcar_symbols"], lambda x: F.element_at(table, F.replace(x, F.lit(" "), F.lit(""))))
+        known = F.when((F.size("_ions") > 0) & F.forall(zvals, lambda z: z.isNotNull()), physics.neutral_electrons(F.col("_ions"), zvals))
+    neutral = F.coalesce(own, known)
+    charge = physics.net_charge(neutral, nelect)
+    block = F.struct(
+        moment.alias("net_magnetization"), source.alias("magnetization_source"), charge.alias("net_charge"), nelect.alias("nelect"), neutral.alias("nelect_neutral"),
+        F.when(charge.isNull(), "unavailable").when(own.isNotNull(), "outcar_header").otherwise("potcar_stats").alias("charge_source"),
+    )
+    return got.withColumn("electronic", block).drop("_mags", "_zval", "_ions")
+
+
 def valences(titles_: DataFrame, table: DataFrame, key: str = "title") -> DataFrame:
     """(key, zval) of each title that a reference table (functional, title, zval) knows: without blanks, the preferred functional first."""
     order = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in TABLE_ORDER]), F.col("functional")), F.lit(0))

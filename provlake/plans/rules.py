@@ -129,14 +129,6 @@ def run_types(t):
 
 
 _RUNS = ["PBE", "HSE06", "HF+U", "PBEO or other Hybrid Functional", "B3LYP+vdW-DFT-D3", "PBE+U"]
-_TAG = lambda m, i, base: f"CASE WHEN ({base} // {i + 2}) % 3 = 0 THEN '{m}{i}' END"
-
-
-def _switch(m, tag, i):
-    """LHFCALC's own values are switches, the others' plain texts."""
-    return at([".TRUE.", "false"], F.floor(m / 5)) if tag == "LHFCALC" else None
-
-
 _OWN = lambda i, t: f"CASE WHEN NOT blank AND (k // {i + 2}) % 3 = 0 THEN " + (f"{sql_at(['.TRUE.', 'false'], 'k // 5')}" if t == "LHFCALC" else f"'own{i}'") + " END"
 _EFF = lambda i, t: f"CASE WHEN (k // {i + 3}) % 4 = 0 THEN " + (f"{sql_at(['true', 'F'], 'k // 7')}" if t == "LHFCALC" else f"'eff{i}'") + " END"
 _RESOLVE = " UNION ALL ".join(
@@ -161,7 +153,8 @@ def resolved_tags(t):
         own += [F.lit(tag), on]
         eff += [F.lit(tag), by]
     incar = F.when(k % 5 != 0, F.create_map(*own))
-    got = t("orders").select(physics.resolve_all(incar, F.create_map(*eff), at(_RUNS, F.floor(k / 3))).alias("m")).select(F.explode("m").alias("tag", "r"))
+    maps = t("orders").select(incar.alias("incar"), F.create_map(*eff).alias("parameters"), at(_RUNS, F.floor(k / 3)).alias("run_type"))
+    got = maps.select(physics.resolve_all(F.col("incar"), F.col("parameters"), F.col("run_type")).alias("m")).select(F.explode("m").alias("tag", "r"))
     return got.groupBy("tag", "r.value", "r.source").agg(F.count("*").alias("n"))
 
 

@@ -482,6 +482,26 @@ def header_parameters(t):
     )
 
 
+@query("""WITH p AS (SELECT p_partkey AS k, p_size AS s, p_partkey % 4 AS mag, p_partkey % 3 AS spin, p_partkey % 5 AS val FROM part), v AS (SELECT *, CASE WHEN val = 0 THEN 14.0 * 2 + 6.0 * s WHEN val = 1 THEN 10.0 * 2 + 6.0 * s END::DOUBLE AS neutral FROM p)
+SELECT k, CASE mag WHEN 0 THEN s + 0.25 WHEN 1 THEN 5.0 * s ELSE CASE WHEN spin <> 1 THEN 0.0 END END::DOUBLE AS moment, CASE mag WHEN 0 THEN 'outcar' WHEN 1 THEN 'outcar_ncl' ELSE CASE WHEN spin <> 1 THEN 'nonmagnetic' ELSE 'unavailable' END END AS source,
+ neutral, CASE WHEN val <> 2 THEN neutral - (20 + s) END::DOUBLE AS charge, CASE WHEN neutral IS NULL THEN 'unavailable' WHEN val = 0 THEN 'outcar_header' ELSE 'potcar_stats' END AS charge_source, spin = 1 AS magnetic FROM v""")
+def electronic_blocks(t):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    val, mag = k % 5, k % 4
+    zval = F.when(val == 0, "   POMASS =   55.847; ZVAL   =   14.000    mass\n   POMASS =   16.000; ZVAL   =    6.000\n").otherwise("")
+    titles = F.when(val <= 1, "   TITEL  = PAW_PBE Fe_pv 06Sep2000\n   TITEL  = PAW_PBE O 08Apr2002\n").when(val == 2, "   TITEL  = PAW_PBE X 1\n").otherwise("")
+    line = lambda v: text(" number of electron      22.0000000 magnetization       ", v, "\n")
+    moments = F.when(mag == 0, F.concat(line(F.lit("9.0")), line(s + 0.25))).when(mag == 1, line(F.concat_ws(" ", (s * 3.0).cast(S), (s * -4.0).cast(S), F.lit("0.0")))).otherwise("")
+    head = text(titles, zval, "   ions per type =               2   ", s, "\n Startparameter for this run:\n   ISPIN = ", F.when(k % 3 == 1, 2).otherwise(1), "\n", F.when(val != 2, text("   NELECT = ", s + 20, ".0\n")).otherwise(""), "   POMASS = 1; ZVAL = 99\n", moments)
+    table = F.create_map(F.lit("PAW_PBEFe_pv06Sep2000"), F.lit(10.0), F.lit("PAW_PBEO08Apr2002"), F.lit(6.0))
+    got = headers.electronic(headers.calc_parameters(t("part").select(k.alias("k"), head.alias("text")), "text"), "text", table)
+    e = F.col("electronic")
+    return got.select(
+        "k", e["net_magnetization"].alias("moment"), e["magnetization_source"].alias("source"), e["nelect_neutral"].alias("neutral"), e["net_charge"].alias("charge"), e["charge_source"].alias("charge_source"),
+        headers.is_magnetic(F.col("calc_parameters")).alias("magnetic"),
+    )
+
+
 @query("""SELECT CASE WHEN o_orderkey % 2 = 0 THEN '400' WHEN o_orderkey % 3 = 0 THEN '500' END AS encut, 1 + CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS n, CASE WHEN o_orderkey % 2 = 0 THEN '{"a":1,"b":null}' ELSE '{"a":1,"b":"x"}' END AS json, count(*) AS c FROM orders GROUP BY ALL""")
 def raw_parameters(t):
     k = F.col("o_orderkey")
