@@ -34,8 +34,10 @@ SECOND = "you your yours yourself u ur du dich dir dein deine deiner euch ihr tu
 #: Signs and digits that stand in for letters.
 LEET = str.maketrans("@431!0$57", "aaeiiosst")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
-#: A run of letters is tried from its start alone, so long runs take linear time.
-_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[@$!*0134]++[^\W\d_]+|(?:\b[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
+#: Letters with signs between them (a run of letters is tried from its start alone, so long runs take linear time), or single letters apart.
+_SIGNED = r"(?<![^\W\d_])[^\W\d_]++[@$!*0134]++[^\W\d_]+"
+_INNER, _ONLY_SIGNED = re.compile(r"(?<=[^\W\d_])[@$!*0134]++(?=[^\W\d_])"), re.compile(_SIGNED)
+_MASKED = re.compile(_SIGNED + r"|(?:\b[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
 _STRETCH = re.compile(r"([^\W\d_])\1{2,}")
 _CAPS = re.compile(r"\b[^\W\d_a-zß-öø-ÿ]{3,}\b")
 STEMS = (4, 5, 6, 7)
@@ -64,6 +66,23 @@ def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, mo
     return {term: w for _, term, w in sorted(got)[:most]}
 
 
+def masked_words(text: str, words: list[str]) -> list[str]:
+    """All of _MASKED in a text; the costly forms only run where their parts are there (four single letters; a sign between letters)."""
+    if sum(len(w) == 1 for w in words) >= 4:
+        return _MASKED.findall(text)
+    return _ONLY_SIGNED.findall(text) if _INNER.search(text) else []
+
+
+def stretches(text: str) -> int:
+    """Letters that stand three times or more in a row; texts without three equal characters in a row have none."""
+    u = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    same = (u[:-2] == u[1:-1]) & (u[1:-1] == u[2:])
+    letter = (((u[:-2] | 0x20) - 97).astype(np.uint16) < 26) | (u[:-2] >= 0x80)
+    if not (same & letter).any() and not ((u >= 0xD800) & (u < 0xE000)).any():  # characters of two units go the long way
+        return 0
+    return sum(1 for _ in _STRETCH.finditer(text))
+
+
 class Featurizer:
     STRONG = 2.5
 
@@ -93,7 +112,7 @@ class Featurizer:
             for i, w in enumerate(words):
                 if ws[i] is None:
                     ws[i] = memo[w] = self.weight(w)
-        masked = _MASKED.findall(text)
+        masked = masked_words(text, words)
         masked_hit = 0
         for m in masked:
             plain = re.sub(r"[^\w@$!]+", "", m.lower()).translate(LEET)
@@ -114,7 +133,7 @@ class Featurizer:
             sum(w in _SECOND for w in words) / n if near or strong else 0.0,
             sum(map(str.isupper, text)) / chars, len(_CAPS.findall(text)) / n,
             len(_PUNCT.findall(text)) / chars, text.count("!") / n, text.count("?") / n,
-            len(masked) / n, float(masked_hit), sum(1 for _ in _STRETCH.finditer(text)) / n, len(_DIGIT.findall(text)) / chars,
+            len(masked) / n, float(masked_hit), stretches(text) / n, len(_DIGIT.findall(text)) / chars,
         ]
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
