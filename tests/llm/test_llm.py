@@ -549,6 +549,14 @@ def test_toxicity_features():
     assert time.process_time() - began < 60
 
 
+def test_toxicity_shortcuts():
+    rng = random.Random(19)
+    for _ in range(4000):
+        t = "".join(rng.choice("abAé  ..-*_@$!01ßzZ\U0001d41a日") for _ in range(rng.choice([0, 1, 2, 8, 40])))
+        found = op10_toxicity._WORD.findall(t.lower())
+        assert op10_toxicity.masked_words(t, found) == op10_toxicity._MASKED.findall(t) and op10_toxicity.stretches(t) == len(op10_toxicity._STRETCH.findall(t))
+
+
 def test_toxicity_trees():
     """The first split is the best of all by exhaustive search, and scores are sums of the leaves that rows fall into."""
     rng = np.random.RandomState(6)
