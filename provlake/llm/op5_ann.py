@@ -34,7 +34,7 @@ from provlake.llm.common import cut, table
 SAMPLE, TABLES, REACH, RADIUS_SHARE = 20_000, 4, 4, 0.42
 K, EVERY = 5, 50
 #: Rows of a shard and queries of a block, which bound a task's memory: vectors move n / BLOCK / 50 + n / SHARD / 50 times.
-SHARD, BLOCK = 65_536, 65_536
+SHARD, BLOCK, LEAST_SHARD = 65_536, 65_536, 8_192
 
 
 class Codes:
@@ -175,7 +175,9 @@ def nearest(vectors: DataFrame, query, k: int = K, reach: int = REACH, radius_sh
     coded = vectors.select("vec_id", "x", F.coalesce(query, F.lit(False)).alias("ask")).mapInArrow(_encoder(pickle.loads(pickle.dumps(Codes(fit)))), kind)
     rows = cut(coded.withColumn("key", F.monotonically_increasing_id()), "op5-rows")
     asks = rows.where("ask")
-    shards, blocks, bits = max(1, -(-n // shard)), max(1, -(-asks.count() // block)), TABLES * d
+    # a small table is dealt to the tasks there are; how it is dealt changes no result
+    shards = max(1, -(-n // shard), min(spark.sparkContext.defaultParallelism, -(-n // LEAST_SHARD)))
+    blocks, bits = max(1, -(-asks.count() // block)), TABLES * d
 
     def search(asks: DataFrame, radius: int | None) -> DataFrame:
         # each shard meets each block of queries: both sides are copied by the number of blocks or shards
