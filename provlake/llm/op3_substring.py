@@ -36,7 +36,7 @@ from provlake.llm.fm_index import FMIndex, repeated_windows
 WINDOW, SHINGLE = 35, 8
 CROWDED = 500
 #: Words that one shard's index holds, about.
-SHARD_WORDS = 40_000
+SHARD_WORDS = 100_000
 
 
 def _sliding(x: np.ndarray, width: int, f) -> np.ndarray:
