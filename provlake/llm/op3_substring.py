@@ -9,8 +9,11 @@ equal minimizers.  A stretch of windows with one minimizer is a segment.
 3. The segments that occur once go, with those of the same minimizer, to shards.  Each shard builds a
    compressed FM-index (``fm_index``) over the words themselves and streams its segments through it;
    backward search gives the stretches that occur twice or more.
-4. A minimizer with more than CROWDED different segments is not sent to one shard: its windows are
-   counted by their own hash, which spreads over all tasks and adds up before the shuffle.
+4. A minimizer with more than CROWDED different segments is not sent to one shard.  Equal windows have its
+   first place in them at the same offset, so each segment is cut at fixed offsets into blocks of up to
+   BLOCK windows, a row each, and the words that all windows of a block share are its core.  A core that
+   occurs once has no repeated window; blocks that occur twice are repeated throughout; only the windows
+   of the others are counted one by one, by their own hash, which spreads over all tasks.
 5. Each document's stretches are joined with its text again and the words in them removed.
 
 Defined cases: null and blank texts have no words and come back empty; fewer than 35 words are kept as
@@ -35,6 +38,8 @@ from provlake.llm.fm_index import FMIndex, repeated_windows
 
 WINDOW, SHINGLE = 35, 8
 CROWDED = 500
+#: Windows of a crowded minimizer's segment that share a core and a row.
+BLOCK = 7
 #: Words that one shard's index holds, about.
 SHARD_WORDS = 100_000
 
@@ -120,11 +125,25 @@ def _anchors(window: int, shingle: int):
     return run
 
 
-_TEXTS = "shard int, key long, print long, many boolean, hot boolean, words string, win long, at int"
+_TEXTS = "shard int, key long, print long, many boolean, hot boolean, words string, core long, wins array<long>, at array<int>"
 
 
-def _needed(window: int, shards: int):
-    """The words of needed segments; for crowded minimizers a hash of each window instead."""
+def _blocks(h: np.ndarray, key: int, window: int, shingle: int) -> dict[tuple[int, tuple[int, ...]], list[int]]:
+    """(core, hashes of its windows) of each block of a segment, and at which windows such a block begins."""
+    each, i = min(BLOCK, window), np.arange(len(h) - window + 1)
+    place = np.flatnonzero(gram_hashes(h, shingle).view(np.int64) == key)
+    first = place[np.searchsorted(place, i)]  # the minimizer's first place in each window
+    core = first - (first - i) // each * each
+    wins, cores = gram_hashes(h, window).view(np.int64).tolist(), gram_hashes(h, window - each + 1).view(np.int64)
+    new = [0, *(np.flatnonzero(np.diff(first * (len(h) + 1) + core)) + 1).tolist()]
+    out: dict[tuple[int, tuple[int, ...]], list[int]] = {}
+    for a, b, c in zip(new, [*new[1:], len(i)], cores[core[new]].tolist()):
+        out.setdefault((c, tuple(wins[a:b])), []).append(a)
+    return out
+
+
+def _needed(window: int, shingle: int, shards: int):
+    """The words of needed segments; for crowded minimizers the segments' blocks instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -136,10 +155,9 @@ def _needed(window: int, shards: int):
                 for x in need:
                     a, n = x["start"], x["count"] + window - 1
                     if x["hot"]:
-                        g = gram_hashes(h[a : a + n], window).view(np.int64).tolist()
-                        rows += [(0, x["key"], x["print"], x["many"], True, None, v, i) for i, v in enumerate(g)]
+                        rows += [(0, x["key"], x["print"], x["many"], True, None, *block, at) for block, at in _blocks(h[a : a + n], x["key"], window, shingle).items()]
                     else:
-                        rows.append((x["key"] % shards, x["key"], x["print"], x["many"], False, " ".join(w.text(a, a + n)), None, None))
+                        rows.append((x["key"] % shards, x["key"], x["print"], x["many"], False, " ".join(w.text(a, a + n)), None, None, None))
                 while len(rows) >= 20_000:
                     yield _pack(rows[:20_000])
                     del rows[:20_000]
@@ -150,8 +168,8 @@ def _needed(window: int, shards: int):
 
 
 def _pack(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["shard", "key", "print", "many", "hot", "words", "win", "at"])
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["shard", "key", "print", "many", "hot", "words", "core", "wins", "at"])
 
 
 _COVER = "key long, print long, spans array<struct<s:int,e:int>>"
@@ -178,7 +196,7 @@ def _search(window: int):
         count = np.array([len(words[i]) - window + 1 for i in ask], np.int64)
         found = repeated_windows(index, seq, begin, count, window)
         got = [(rows["key"][i], rows["print"][i], merge([(s, s + window) for s in sorted(f)])) for i, f in zip(ask, found) if f]
-        return pd.DataFrame({"key": [g[0] for g in got], "print": [g[1] for g in got], "spans": [[{"s": s, "e": e} for s, e in g[2]] for g in got]}, columns=["key", "print", "spans"])
+        return pd.DataFrame({"key": [g[0] for g in got], "print": [g[1] for g in got], "spans": [[{"s": s, "e": e} for s, e in g[2]] for g in got]}, columns=["key", "print", "spans"], dtype=object)
 
     return run
 
@@ -202,6 +220,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(_doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
 
 
+def _crowded(hot: DataFrame, window: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, print, spans) of repeated windows of crowded minimizers; and the written tables behind it."""
+    hot = hot.select("key", "print", "many", "core", "wins", "at", F.size("at").alias("n"))
+    twice = hot.groupBy("core").agg(F.sum("n").alias("n"), F.bool_and("many").alias("many")).where("n > 1 and not many").select("core")
+    left = cut(hot.join(twice, "core"), "op3-blocks")
+    runs = cut(left.groupBy("core", "wins").agg(F.sum("n").alias("n"), F.bool_and("many").alias("many")), "op3-runs")
+    once = runs.where("n = 1 and not many")
+    seen = runs.join(once.select("core").distinct(), "core", "left_semi").select("core", F.explode("wins").alias("win"))
+    seen = cut(seen.groupBy("core", "win").agg(F.count("*").alias("n")).where("n > 1").select("core", "win"), "op3-again")
+    ask = left.where("not many").select("key", "print", "core", "wins", "at")
+    whole = ask.join(runs.where("n > 1").select("core", "wins"), ["core", "wins"]).select("key", "print", F.explode("at").alias("s"), (F.size("wins") - 1).alias("more"))
+    part = ask.join(once.select("core", "wins"), ["core", "wins"]).select("key", "print", "core", F.col("at")[0].alias("at"), F.posexplode("wins").alias("pos", "win"))
+    part = part.join(seen, ["core", "win"]).select("key", "print", (F.col("at") + F.col("pos")).alias("s"), F.lit(0).alias("more"))
+    span = F.struct("s", (F.col("s") + F.col("more") + window).alias("e"))
+    return whole.unionByName(part).groupBy("key", "print").agg(F.collect_list(span).alias("spans")), [left, runs, seen]
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, crowded: int = CROWDED, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, list[DataFrame]]:
     """(doc_key, spans): word spans to remove, for documents that have any; and the written tables behind it."""
     keyed = _keyed(docs)
@@ -219,17 +254,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
     words = need.select(F.explode("need").alias("x")).agg(F.sum(F.col("x.count") + window - 1)).first()[0] or 0
     shards = max(1, -(-words // shard_words))
     # rows that repeat give their segments once for each row: group them again by what they are
-    texts = cut(keyed.join(need, "doc_key").select("text", "need").mapInArrow(_needed(window, shards), _TEXTS).dropDuplicates(["key", "print", "at"]), "op3-texts")
+    texts = cut(keyed.join(need, "doc_key").select("text", "need").mapInArrow(_needed(window, shingle, shards), _TEXTS).dropDuplicates(["key", "print", "at"]), "op3-texts")
     cold = texts.where("not hot").groupBy("shard").applyInPandas(_search(window), _COVER)
-    hot = texts.where("hot").select("key", "print", "win", "at", "many")
-    again = hot.groupBy("key", "win").agg(F.count("*").alias("n")).where("n > 1").select("key", "win")
-    hot = hot.where("not many").join(cut(again, "op3-again"), ["key", "win"]).groupBy("key", "print").agg(F.collect_list(F.struct(F.col("at").alias("s"), (F.col("at") + window).alias("e"))).alias("spans"))
+    hot, blocks = _crowded(texts.where("hot"), window)
     full = segs.where("n > 1").select("key", "print", F.array(F.struct(F.lit(0).alias("s"), (F.col("rep.count") + window - 1).alias("e"))).alias("spans"))
     cover = cut(full.unionByName(cold).unionByName(hot), "op3-cover")
     got = cand.select("doc_key", "key", "print", "start").join(cover, ["key", "print"])
     move = F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e")))
     spans = cut(got.groupBy("doc_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(move)))).alias("spans")), "op3-spans")
-    drop_cut(twice, cand, segs, per, need, texts, cover)
+    drop_cut(twice, cand, segs, per, need, texts, *blocks, cover)
     return spans, [spans]
 
 

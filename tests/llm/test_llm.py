@@ -116,6 +116,33 @@ def test_substring(docs, empty, crowded):
         assert sorted((str(r.doc_id), len((r.text or "").split())) for r in kept.select("doc_id", "text").collect()) == sorted((str(w[0]), w[1] - w[2]) for w in want if True)
 
 
+@pytest.mark.parametrize("crowded", [3, 0])
+def test_substring_of_crowded_minimizers(spark, crowded):
+    """Near copies, a common line between other words, and periodic texts of several lengths, all with crowded minimizers."""
+    rng = random.Random(19)
+    base, line = words(150, rng).split(), words(12, rng)
+    texts = [" ".join(w if rng.random() > 0.02 else rng.choice(VOCAB) for w in base) for _ in range(40)]
+    texts += [words(rng.randint(0, 60), rng) + " " + line + " " + words(rng.randint(0, 60), rng) for _ in range(40)]
+    texts += ["x " * rng.randint(30, 90) + words(rng.randint(0, 9), rng) for _ in range(12)] + ["a b c " * rng.randint(10, 40) + words(3, rng) for _ in range(12)]
+    got = op3_substring.removals(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), crowded=crowded, shard_words=2000)
+    assert listed(got) == sorted(((i, *x) for i, x in enumerate(brute_removed(texts))), key=str)
+
+
+def test_substring_rows_of_crowded_minimizers():
+    """A crowded segment of 28 windows around one place gives a row per block, a periodic one a single row."""
+    import pyarrow as pa
+
+    rng = random.Random(23)
+    texts, needs = [" ".join(f"{rng.random():.9f}" for _ in range(4000)), "x " * 4000], []
+    for text in texts:
+        s = op3_substring.Segments([text], 35, 8)
+        needs.append([{"key": int(s.key[i]), "print": int(s.print[i]), "start": int(s.start[i]), "count": int(s.count[i]), "many": False, "hot": True} for i in range(len(s.key))])
+    batch = pa.RecordBatch.from_pydict({"text": texts, "need": needs})
+    rows = [r["key"] for b in op3_substring._needed(35, 8, 1)(iter([batch])) for r in b.to_pylist()]
+    count = Counter(rows)
+    assert sum(map(len, needs)) > 200 and all(count[x["key"]] <= 4 for need in needs for x in need) and count[needs[1][0]["key"]] == 1
+
+
 def test_repeated_windows_random():
     rng = np.random.RandomState(5)
     for _ in range(60):
