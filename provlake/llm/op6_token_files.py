@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ from provlake.llm.op2_bpe import ODD_SPACE, vocabulary
 END = 1
 SEGMENT = 8_000_000
 PART_BYTES = 24 << 20
+#: Characters whose words are looked up together.
+STEP = 2 << 20
 #: Segments whose starts (24 bytes each) are broadcast.
 BROADCAST = 2_000_000
 _NAMES = ["doc_ids", "doc_lens", "prior", "block_lens", "block_crcs", "blocks"]
@@ -66,8 +69,9 @@ class Tokens:
         if len(self.pieces) > self.most:
             self.pieces = {}
         known = self.pieces
-        parts = [(w.lower(),) if w.isalpha() else _PIECES(w.lower()) for w in words]
-        miss = list(set(chain.from_iterable(parts)).difference(known))
+        low = " ".join(words).lower().split(" ")
+        parts = {w: _PIECES(w) for w in set(low) if not w.isalpha()}
+        miss = list({w for w in low if w not in parts}.union(chain.from_iterable(parts.values())).difference(known))
         if miss:
             ids = np.array(self.tok.encode_batch_fast([" ".join(miss)], add_special_tokens=False)[0].ids, "<u2")
             ends = np.flatnonzero(self.last[ids]) + 1
@@ -75,11 +79,12 @@ class Tokens:
                 return None
             raw, at = ids.tobytes(), (2 * ends).tolist()
             known.update(zip(miss, [raw[x:y] for x, y in zip([0, *at], at)]))
-        return [known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for p in parts]
+        cut = {w: b"".join([known[x] for x in p]) for w, p in parts.items()}
+        return [cut[w] if w in cut else known[w] for w in low]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        plain = [w for w in words if _PLAIN(w) and "<|" not in w]
-        got = self._pieces(plain)
+        plain = [w for w in words if w.isascii() and w.isalpha() or _PLAIN(w) and "<|" not in w]
+        got = self._pieces(plain) if plain else []
         if got is not None and len(plain) == len(words):
             return got
         out = dict.fromkeys(words)
@@ -89,24 +94,34 @@ class Tokens:
         return [out[w] for w in words]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 16-bit ids of each text."""
+        """Little-endian 16-bit ids of each text: Arrow splits and numbers the words, so that Python sees each different one once."""
+        odd = [i for i, t in enumerate(texts) if t and ODD_SPACE.search(t)]
+        whole = dict(zip(odd, self._library([texts[i] for i in odd]) if odd else ()))
+        split = pa.compute.ascii_split_whitespace(pa.array(["" if i in whole else t or "" for i, t in enumerate(texts)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        found, at = self._find(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), coded.indices.to_numpy()
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 1
+        begin, n = np.cumsum(size) - size, size.take(at)
+        end = np.concatenate(([0], np.cumsum(n)))
+        out = np.frombuffer(b"".join(found), "<u2").take(np.repeat(begin.take(at) - end[:-1], n) + np.arange(end[-1]))
+        cuts = end[split.offsets.to_numpy()].tolist()
+        return [whole[i] if i in whole else out[x:y].tobytes() for i, (x, y) in enumerate(zip(cuts, cuts[1:]))]
+
+    def _find(self, words: list[str]) -> list[bytes]:
+        """Ids of different words."""
         if len(self.young) > self.most:  # two generations of words: the older one goes
             self.old, self.young = self.young, {}
-        young, old, whole, every = self.young, self.old, {}, set()
-        split = [() if not t else t.split() if not ODD_SPACE.search(t) else None for t in texts]
-        if odd := [i for i, w in enumerate(split) if w is None]:
-            whole = dict(zip(odd, self._library([texts[i] for i in odd])))
-        for w in split:
-            every.update(w or ())
-        miss = []
-        for w in every.difference(young):
-            if (got := old.get(w)) is None:
-                miss.append(w)
-            else:
-                young[w] = got
-        if miss:
-            young.update(zip(miss, self._words(miss)))
-        return [whole[i] if w is None else b"".join(map(young.__getitem__, w)) for i, w in enumerate(split)]
+        young, old = self.young, self.old
+        got = list(map(young.get, words))
+        new = [w for w, g in zip(words, got) if g is None]
+        if new:
+            aged = list(map(old.get, new))
+            young.update((w, g) for w, g in zip(new, aged) if g is not None)
+            miss = [w for w, g in zip(new, aged) if g is None]
+            if miss:
+                young.update(zip(miss, self._words(miss)))
+            got = list(map(young.__getitem__, words))
+        return got
 
 
 #: Words on which the library's classes of characters are these: visible ASCII and the letters of Latin-1.
@@ -126,7 +141,7 @@ def _writer(path: str, end: int, segment: int):
 
         for b in small(batches):
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for x, y in steps(texts):
+            for x, y in steps(texts, STEP):
                 for i, got in zip(ids[x:y], tokens.ids(texts[x:y])):
                     docs.append(i)
                     lens.append(len(got) // 2 + 1)

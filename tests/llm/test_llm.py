@@ -388,6 +388,16 @@ def test_words_as_the_library():
         assert tokens.ids(texts) == [np.array(tokens.tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
 
 
+def test_words_are_looked_up_once(monkeypatch):
+    """Python sees each different word of a call once; blank, null and odd texts among others keep their places."""
+    tokens, asked = op6_token_files.Tokens(op2_bpe.vocabulary("word_bpe_49k.json")), []
+    find = tokens._find
+    monkeypatch.setattr(tokens, "_find", lambda w: asked.append(w) or find(w))
+    texts = [None, "", "  b a\tb ", "x\x1cy a", "\n", "é b a" * 50, "日本 b"]
+    assert tokens.ids(texts) == [np.array(tokens.tok.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and len(tokens.ids([None])) == 1 and tokens.ids([]) == []
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 
