@@ -6,7 +6,7 @@ segment's packed order-0 counts, and for each block its number of ids, CRC-32 an
 decodes alone, given those counts.  Parts are ranges of doc_id, so part and segment order is document
 order; starts come from a running sum over parts.
 
-Words between white space, in lower case and cut as the tokenizer's own pattern cuts them, are given to the
+Pieces of words, in lower case and cut as the tokenizer's own pattern cuts them, are given to the
 tokenizers library once while they are in a worker's bounded memos; texts with white space other than blank, tab, line feed and return go to it whole.
 
 Defined cases: a null text is encoded as an empty one and has the end id alone; rows that share a
@@ -21,24 +21,22 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from provlake.llm import range_coder
-from provlake.llm.common import cut, doc_columns, shared_dir, small, steps, table
+from provlake.llm.common import LOWER, cut, doc_columns, shared_dir, small, steps, table
 from provlake.llm.op2_bpe import ODD_SPACE, vocabulary
 
 END = 1
 SEGMENT = 8_000_000
 PART_BYTES = 24 << 20
-#: Characters whose words are looked up together.
-STEP = 2 << 20
+#: Characters whose pieces are looked up together.
+STEP = 4 << 20
 #: Segments whose starts (24 bytes each) are broadcast.
 BROADCAST = 2_000_000
 _NAMES = ["doc_ids", "doc_lens", "prior", "block_lens", "block_crcs", "blocks"]
@@ -47,9 +45,9 @@ _SCHEMA = "doc_ids array<long>, doc_lens array<long>, prior binary, block_lens a
 
 
 class Tokens:
-    """Ids by the tokenizers library: the pieces of words that aren't in the bounded memos go to it together."""
+    """Ids by the tokenizers library: the pieces that aren't in the bounded memos go to it together."""
 
-    def __init__(self, path: str, words: int = 250_000) -> None:
+    def __init__(self, path: str, words: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,75 +57,136 @@ class Tokens:
         vocab = self.tok.get_vocab()
         self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a piece of a word
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.most, self.young, self.old, self.pieces = words, {}, {}, {}
+        # plain pieces are in normal form as they are cut, where this holds for each of their characters
+        letters = [chr(c) for c in range(0x20, 0x100) if c == 0x20 or _PLAIN(chr(c))]
+        self.normal = self.tok.normalizer is not None and all(self.tok.normalizer.normalize_str(c) == c for c in letters)
+        self.most, self.young, self.old = words, {}, {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, words: list[str]) -> list[bytes] | None:
-        """Ids of each plain word, by its pieces: those that aren't in their memo are encoded as one text; None if they can't be told apart."""
-        if len(self.pieces) > self.most:
-            self.pieces = {}
-        known = self.pieces
-        low = " ".join(words).lower().split(" ")
-        parts = {w: _PIECES(w) for w in set(low) if not w.isalpha()}
-        miss = list({w for w in low if w not in parts}.union(chain.from_iterable(parts.values())).difference(known))
-        if miss:
-            ids = np.array(self.tok.encode_batch_fast([" ".join(miss)], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(miss):
-                return None
-            raw, at = ids.tobytes(), (2 * ends).tolist()
-            known.update(zip(miss, [raw[x:y] for x, y in zip([0, *at], at)]))
-        cut = {w: b"".join([known[x] for x in p]) for w, p in parts.items()}
-        return [cut[w] if w in cut else known[w] for w in low]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        plain = [w for w in words if w.isascii() and w.isalpha() or _PLAIN(w) and "<|" not in w]
-        got = self._pieces(plain) if plain else []
-        if got is not None and len(plain) == len(words):
-            return got
-        out = dict.fromkeys(words)
-        out.update(zip(plain, got or ()))
-        rest = [w for w, g in out.items() if g is None]
-        out.update(zip(rest, self._library(rest)))
-        return [out[w] for w in words]
+    def _plain(self, pieces: list[str]) -> list[bytes] | None:
+        """Ids of pieces, encoded as one text; None if they can't be told apart."""
+        normalizer = self.tok.normalizer
+        try:
+            if self.normal:
+                self.tok.normalizer = None
+            ids = np.array(self.tok.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u2")
+        finally:
+            self.tok.normalizer = normalizer
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces):
+            return None
+        raw, at = ids.tobytes(), (2 * ends).tolist()
+        return [raw[x:y] for x, y in zip([0, *at], at)]
+
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that no memo holds."""
+        joined = "".join(pieces)
+        if not _PLAIN(joined) or "<|" in joined:
+            plain = [p for p in pieces if _PLAIN(p) and "<|" not in p]
+            if len(plain) < len(pieces):
+                known = dict(zip(plain, self._new(plain))) if plain else {}
+                rest = [p for p in pieces if p not in known]
+                known.update(zip(rest, self._library(rest)))
+                return [known[p] for p in pieces]
+        return self._plain(pieces) or self._library(pieces)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 16-bit ids of each text: Arrow splits and numbers the words, so that Python sees each different one once."""
-        odd = [i for i, t in enumerate(texts) if t and ODD_SPACE.search(t)]
+        """Little-endian 16-bit ids of each text: numpy cuts the pieces and Arrow numbers them, so that Python sees each different one once."""
+        raw = [t.encode() if t else b"" for t in texts]
+        odd = [i for i, t in enumerate(raw) if t.translate(None, _USUAL) and ODD_SPACE.search(texts[i])]
         whole = dict(zip(odd, self._library([texts[i] for i in odd]) if odd else ()))
-        split = pa.compute.ascii_split_whitespace(pa.array(["" if i in whole else t or "" for i, t in enumerate(texts)], pa.string()))
-        coded = split.flatten().dictionary_encode()
+        data, start, sizes, first = pieces_of([b"" if i in whole else t for i, t in enumerate(raw)] if odd else raw)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        coded = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
         found, at = self._find(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), coded.indices.to_numpy()
         size = np.fromiter(map(len, found), np.int64, len(found)) >> 1
         begin, n = np.cumsum(size) - size, size.take(at)
         end = np.concatenate(([0], np.cumsum(n)))
         out = np.frombuffer(b"".join(found), "<u2").take(np.repeat(begin.take(at) - end[:-1], n) + np.arange(end[-1]))
-        cuts = end[split.offsets.to_numpy()].tolist()
+        cuts = end[np.searchsorted(start, first)].tolist()
         return [whole[i] if i in whole else out[x:y].tobytes() for i, (x, y) in enumerate(zip(cuts, cuts[1:]))]
 
-    def _find(self, words: list[str]) -> list[bytes]:
-        """Ids of different words."""
-        if len(self.young) > self.most:  # two generations of words: the older one goes
+    def _find(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        if len(self.young) > self.most:  # two generations of pieces: the older one goes
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        got = list(map(young.get, words))
-        new = [w for w, g in zip(words, got) if g is None]
+        young = self.young
+        got = list(map(young.get, pieces))
+        new = [i for i, g in enumerate(got) if g is None]
         if new:
-            aged = list(map(old.get, new))
-            young.update((w, g) for w, g in zip(new, aged) if g is not None)
-            miss = [w for w, g in zip(new, aged) if g is None]
-            if miss:
-                young.update(zip(miss, self._words(miss)))
-            got = list(map(young.__getitem__, words))
+            aged = list(map(self.old.get, [pieces[i] for i in new]))
+            miss = [pieces[i] for i, g in zip(new, aged) if g is None]
+            made = iter(self._new(miss) if miss else ())
+            for i, g in zip(new, aged):
+                got[i] = young[pieces[i]] = next(made) if g is None else g
         return got
 
 
-#: Words on which the library's classes of characters are these: visible ASCII and the letters of Latin-1.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-#: The tokenizer's own pieces of a plain word in lower case.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+#: Pieces on which the library's classes of characters are these: visible ASCII and the letters of Latin-1 in lower case.
+_PLAIN = re.compile(r"[!-@\[-~ß-öø-ÿ]+").fullmatch
+_BLANK, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+_BLANKS = b" \t\n\r"
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _LETTER
+_CLASS[[*_BLANKS]] = _BLANK
+_CLASSES = _CLASS.tobytes()
+#: Bytes of texts without odd white space: visible ASCII, blanks, and those of characters up to two bytes but for its lead C2.
+_USUAL = bytes([*_BLANKS, *range(0x21, 0x7F), *range(0x80, 0xC0), *range(0xC3, 0xE0)])
+
+
+def pieces_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokenizer's own pieces of texts in lower case: their bytes, one piece after the other, each one's place
+    and size, and the place of each text.  A word with other characters than ``_PLAIN``, or with ``<|``, is one piece as it stands."""
+    joined = b" ".join([b"", *texts, b""])
+    raw, low = np.frombuffer(joined, np.uint8), np.frombuffer(bytearray(joined.translate(LOWER)), np.uint8)
+    first = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    kind = np.frombuffer(bytearray(joined.translate(_CLASSES)), np.uint8)
+    high = np.flatnonzero(raw >= 0x80)
+    if len(high):
+        lead = high[raw[high] == 0xC3]
+        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        low[lead[raw[lead + 1] < 0x9F] + 1] += 0x20
+    if b"<|" in joined:
+        kind[np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))] = _OTHER
+    edge = kind[1:] != kind[:-1]
+    edge |= kind[1:] == _DIGIT
+    at = np.flatnonzero(edge) + 1
+    what = kind.take(at[:-1])  # the last edge is the blank behind all
+    inside = np.flatnonzero(what)
+    start, end, what = at.take(inside), at.take(inside + 1), what.take(inside)
+    if (what == _OTHER).any():
+        fresh = np.concatenate(([True], start[1:] != end[:-1]))
+        word = np.cumsum(fresh) - 1
+        other = np.zeros(int(word[-1]) + 1, bool)
+        other[word[what == _OTHER]] = True
+        whole = other[word]
+        last = np.concatenate((fresh[1:], [True]))
+        keep = ~whole | fresh
+        end[whole & fresh], what[whole] = end[whole & last], _OTHER
+        start, end, what = start[keep], end[keep], what[keep]
+        within = np.zeros(len(raw), np.int8)
+        within[start[what == _OTHER]] = 1
+        within[end[what == _OTHER]] = -1
+        low = np.where(np.cumsum(within, dtype=np.int8).view(bool), raw, low)
+    # 's, 't, 're, 've, 'm, 'll and 'd: a lone apostrophe takes the letters from the piece behind it
+    mark = np.flatnonzero(raw == 0x27)
+    lone = np.minimum(np.searchsorted(start, mark), len(start) - 2) if len(start) > 1 else mark[:0]
+    lone = lone[(start[lone] == mark) & (what[lone] == _SIGN) & (end[lone] == mark + 1) & (start[lone + 1] == mark + 1) & (what[lone + 1] == _LETTER)] if len(lone) else lone
+    if len(lone):
+        a, b, room = low[start[lone] + 1], low[start[lone] + 2], end[lone + 1] - start[lone + 1]
+        one = (a == 0x73) | (a == 0x74) | (a == 0x6D) | (a == 0x64)
+        two = (room > 1) & ((((a == 0x72) | (a == 0x76)) & (b == 0x65)) | ((a == 0x6C) & (b == 0x6C)))
+        take = np.where(two, 2, np.where(one, 1, 0))
+        end[lone] += take
+        start[lone + 1] += take
+        keep = start < end
+        start, end = start[keep], end[keep]
+    return low.tobytes().translate(None, _BLANKS), start, end - start, first
 
 
 def _writer(path: str, end: int, segment: int):
@@ -139,7 +198,7 @@ def _writer(path: str, end: int, segment: int):
             prior, blocks, sizes, sums = range_coder.encode(np.frombuffer(b"".join(held), "<u2"))
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((docs, lens, prior, sizes, sums, blocks), _KINDS)], names=_NAMES)
 
-        for b in small(batches):
+        for b in small(batches, 1000):
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for x, y in steps(texts, STEP):
                 for i, got in zip(ids[x:y], tokens.ids(texts[x:y])):

@@ -36,6 +36,7 @@ def _u(x: int) -> np.ndarray:
 
 
 _KEEP, _ONES, _FIELD = _u(sum((0xFFFF >> _RATE) << (16 * i) for i in range(4))), _u(0x0001000100010001), _u(0xFFFF)
+_U2, _U3, _USIZE, _PLACE = _u(2), _u(3), _u(2 + _WIDE), _u((1 << _WIDE) - 1)
 _U4, _U5, _U16, _U32, _UPART, _URATE, _LIMIT = _u(4), _u(5), _u(16), _u(32), _u(_PART), _u(_RATE), _u(1 << 32)
 _I2, _I3, _I5, _I7, _I12, _I16 = (np.array(i) for i in (2, 3, 5, 7, 12, 16))
 _M1, _M2, _MUL = np.array((1 << _H1) - 1), np.array((1 << _H2) - 1), np.array(40503)
@@ -47,6 +48,14 @@ _NARROW = np.array([0, 0, _WIDE, _WIDE], np.uint64)
 _STEP = 8  # the models' weights move every so many ids
 
 
+def _turn(rows: np.ndarray) -> np.ndarray:
+    """A transposed copy, made in strips that stay in the processor's cache."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for i in range(0, len(rows), 32):
+        out[:, i : i + 32] = rows[i : i + 32].T
+    return out
+
+
 class Prior:
     """Order-0 counts of a segment: class, start and size of each id, and the id at each place of a class."""
 
@@ -57,18 +66,19 @@ class Prior:
         mass = np.cumsum(counts[order])
         half = int(np.searchsorted(mass, mass[-1] / 2)) + 1 if len(order) else 0
         # four tables in one: ids that neither prediction gives, then those of order 1, order 2 and both
-        self.share = np.repeat([2, 1, 0, 0], 65536)
-        self.start, self.size = np.zeros(4 * 65536, np.uint64), np.ones(4 * 65536, np.uint64)
-        self.at = np.zeros(2 << _WIDE, np.int64)
+        share, start, full = np.repeat([2, 1, 0, 0], 65536), np.zeros(4 * 65536, np.int64), np.ones(4 * 65536, np.int64)
+        self.at = np.zeros(2 << _WIDE, np.uint16)
         for k, part in enumerate((np.sort(order[:half]), np.sort(order[half:]))):
             if not len(part):
                 continue
             c = counts[part].astype(np.float64)
             size = np.maximum(1, np.floor(c * ((1 << _WIDE) - len(part)) / c.sum())).astype(np.int64)
             size[int(np.argmax(size))] += (1 << _WIDE) - int(size.sum())
-            self.share[part], self.size[part] = 2 + k, size
-            self.start[part] = np.cumsum(size) - size
+            share[part], full[part] = 2 + k, size
+            start[part] = np.cumsum(size) - size
             self.at[k << _WIDE : (k + 1) << _WIDE] = np.repeat(part, size)
+        # 2 bits of share, then start, then size: one word to look up
+        self.word = (share + (start << 2) + (full << (2 + _WIDE))).astype(np.uint64)
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Prior:
@@ -96,7 +106,8 @@ class _Model:
     def __init__(self, n: int) -> None:
         self.lane = np.arange(n)
         self.at1, self.at2 = self.lane << _H1, self.lane << _H2
-        self.t1, self.t2 = np.zeros(n << _H1, np.uint32), np.zeros(n << _H2, np.uint32)
+        both = np.zeros((n << _H1) + (n << _H2), np.uint32)  # in one piece: large ones get large pages
+        self.t1, self.t2 = both[: n << _H1], both[n << _H1 :]
         self.a, self.b = np.full(n * 16, _EVEN), np.full(n * 16, _EVEN)
         self.own = self.lane * 16
         self.hash = np.zeros(n, np.int64)
@@ -158,22 +169,45 @@ class _Model:
         self.in_b = self.was + self.own
 
 
+class _Words:
+    """The words written by n lanes; the last one of each lane waits here for carries."""
+
+    def __init__(self, n: int, most: int) -> None:
+        self.wide = most + 2
+        self.flat, self.at = np.zeros(n * self.wide, np.uint32), np.arange(n) * self.wide
+        self.last = np.zeros(n, np.uint32)  # at first the word in front of all, which no carry meets
+
+    def carry(self, over: np.ndarray) -> None:
+        """Add one to the lanes that are marked."""
+        self.last += over.view(np.uint8)
+        over = over & (self.last == 0)
+        if over.any():  # the word was full: those before it take the carry
+            k = self.at[over] - 1
+            while len(k):
+                self.flat[k] += 1
+                k = k[self.flat[k] == 0] - 1
+
+    def put(self, which: np.ndarray, low: np.ndarray) -> None:
+        """The upper 32 bits of ``low`` are the next word of lanes ``which``."""
+        at = self.at.take(which, mode="clip")
+        self.flat[at] = self.last.take(which, mode="clip")
+        self.at[which] = at + 1
+        self.last[which] = low.take(which, mode="clip") >> _U32
+
+    def of(self, lane: int) -> np.ndarray:
+        at = self.at[lane]
+        self.flat[at] = self.last[lane]
+        return self.flat[lane * self.wide + 1 : at + 1]
+
+
 def _encode_group(ids: np.ndarray, length: np.ndarray, prior: Prior) -> list[bytes]:
     """ids: lanes x steps; rows end with any id from ``length`` on."""
     n, steps = ids.shape
-    m = _Model(n)
+    m, words = _Model(n), _Words(n, steps)
     low, rng = np.zeros(n, np.uint64), np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-    out = np.zeros((n, steps + 4), np.uint32)
-    flat, at, done = out.reshape(-1), m.lane * out.shape[1], [b""] * n
-    columns = np.ascontiguousarray(ids.T)
+    done = [b""] * n
+    columns = _turn(ids)
     ends = set(length.tolist())
-
-    def carry(over: np.ndarray) -> None:
-        k = at[over] - 1
-        while len(k):
-            flat[k] += 1
-            k = k[flat[k] == 0] - 1
-
     for t in range(steps):
         x = columns[t].astype(np.int64)
         four = columns[t].astype(np.uint32) << _W2
@@ -184,21 +218,23 @@ def _encode_group(ids: np.ndarray, length: np.ndarray, prior: Prior) -> list[byt
         place = kind.astype(np.int64)
         place <<= _I16
         place += x
-        share = prior.share.take(place, mode="clip")
+        word = prior.word.take(place, mode="clip")
+        share = (word & _U3).view(np.int64)
         a, size = m.bounds(share)
         r = rng >> _UPART
         rng = r * size
         a *= r
         r = rng >> _NARROW.take(share, mode="clip")
-        a += r * prior.start.take(place, mode="clip")
-        rng = r * prior.size.take(place, mode="clip")
+        start = word >> _U2
+        start &= _PLACE
+        start *= r
+        a += start
+        word >>= _USIZE
+        rng = r * word
         low += a
-        over = low < a
-        if over.any():
-            carry(np.flatnonzero(over))
-        flat[at] = (low >> _U32).astype(np.uint32)  # kept only where the place moves on
+        words.carry(low < a)
         small = rng < _LIMIT
-        at += small.view(np.uint8)
+        words.put(np.flatnonzero(small), low)
         shift = small.astype(np.uint64)
         shift <<= _U5
         low <<= shift
@@ -206,8 +242,7 @@ def _encode_group(ids: np.ndarray, length: np.ndarray, prior: Prior) -> list[byt
         m.update(x, four, share, d1, d2)
         if t + 1 in ends:  # these lanes end here: two words fix their state
             for i in np.flatnonzero(length == t + 1).tolist():
-                words = out[i, : at[i] - i * out.shape[1]]
-                done[i] = words.astype("<u4").tobytes() + np.array([low[i] >> _U32, low[i] & (_LIMIT - _u(1))], "<u4").tobytes()
+                done[i] = words.of(i).astype("<u4").tobytes() + np.array([low[i] >> _U32, low[i] & (_LIMIT - _u(1))], "<u4").tobytes()
     return done
 
 
@@ -227,9 +262,10 @@ def _decode_group(data: list[bytes], length: np.ndarray, prior: Prior) -> np.nda
         m.predict()
         r = rng >> _UPART
         v = code // r
-        share = (v >= (m.sums & _FIELD)).astype(np.int64)
-        share += (v >= (m.sums >> _U16 & _FIELD)).view(np.uint8)
-        share += (v >= (m.sums >> _U32 & _FIELD)).view(np.uint8)
+        which = (v >= (m.sums & _FIELD)).view(np.uint8)
+        which += (v >= (m.sums >> _U16 & _FIELD)).view(np.uint8)
+        which += (v >= (m.sums >> _U32 & _FIELD)).view(np.uint8)
+        share = which.astype(np.int64)
         a, size = m.bounds(share)
         a *= r
         code -= a
@@ -238,24 +274,33 @@ def _decode_group(data: list[bytes], length: np.ndarray, prior: Prior) -> np.nda
         # a share of class 0 or 1 leaves a place in the class, one of a prediction its id
         v = np.minimum(code // np.maximum(r, _u(1)), top).view(np.int64)
         v += (share & 1) << _WIDE
-        x = prior.at.take(v, mode="clip")
-        hit = share < _I2
-        if hit.any():
-            x = np.where(hit, np.where(share == 0, m.e2, m.e1) >> _W2, x)
-        place = x + (hit.astype(np.int64) << 17)
-        code -= r * prior.start.take(place, mode="clip")
-        rng = r * prior.size.take(place, mode="clip")
+        x = prior.at.take(v, mode="clip").astype(np.int64)
+        hit = which < 2
+        place = hit.astype(np.int64)
+        place <<= 17
+        i = np.flatnonzero(hit)
+        x[i] = np.where(which.take(i, mode="clip") == 0, m.e2.take(i, mode="clip"), m.e1.take(i, mode="clip")) >> _W2
+        place += x
+        word = prior.word.take(place, mode="clip")
+        start = word >> _U2
+        start &= _PLACE
+        start *= r
+        code -= start
+        word >>= _USIZE
+        rng = r * word
         small = rng < _LIMIT
         shift = small.astype(np.uint64)
         shift <<= _U5
         rng <<= shift
         code <<= shift
-        code |= flat.take(np.minimum(at, end), mode="clip") * small
-        at += small.view(np.uint8)
+        i = np.flatnonzero(small)
+        k = at.take(i, mode="clip")
+        at[i] = k + 1
+        code[i] |= flat.take(np.minimum(k, end.take(i, mode="clip")), mode="clip")
         four = x.astype(np.uint32) << _W2
         m.update(x, four, share, m.e1 ^ four, m.e2 ^ four)
         out[t] = x
-    return out.T
+    return _turn(out)
 
 
 def _groups(blocks: int):

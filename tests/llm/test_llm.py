@@ -364,6 +364,24 @@ def test_range_coder():
         range_coder.decode(prior, [payload[1]], length[:1], [sums[0] ^ 1])
 
 
+def test_carries_run_through_full_words():
+    """A carry into a word of ones goes on to the words before it, in its own lane only."""
+    rng = random.Random(9)
+    words, want = range_coder._Words(3, 60), [0, 0, 0]
+    first = np.array([5, 6, 7], np.uint64) << np.uint64(32)
+    words.put(np.arange(3), first)
+    want = [5, 6, 7]
+    for _ in range(50):
+        over = np.array([rng.random() < 0.3 for _ in want])
+        words.carry(over)
+        want = [w + int(o) for w, o in zip(want, over)]
+        which = np.array([i for i in range(3) if rng.random() < 0.8], int)
+        low = np.array([rng.choice([0xFFFFFFFF, 0xFFFFFFFF, 0, 1]) << 32 for _ in want], np.uint64)
+        words.put(which, low)
+        want = [(w << 32) + (int(low[i]) >> 32) if i in which else w for i, w in enumerate(want)]
+    assert [int.from_bytes(words.of(i).astype(">u4").tobytes(), "big") for i in range(3)] == want
+
+
 def test_range_coder_is_smaller():
     """On ids of a shared table: smaller than zlib and than a static order-0 code of the same ids."""
     import pyarrow.parquet as pq
@@ -398,6 +416,22 @@ def test_words_are_looked_up_once(monkeypatch):
     assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and len(tokens.ids([None])) == 1 and tokens.ids([]) == []
 
 
+def test_pieces_are_cut_outside_python(monkeypatch):
+    """Python sees the different pieces of a call, not its words, and pieces are the library's own at apostrophes, digits, signs and other characters."""
+    rng = random.Random(5)
+    tokens, asked = op6_token_files.Tokens(op2_bpe.vocabulary("word_bpe_49k.json"), words=40), []
+    find = tokens._find
+    monkeypatch.setattr(tokens, "_find", lambda p: asked.append(p) or find(p))
+    library = lambda texts: [np.array(tokens.tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    texts = ["Ab, ab. aB! É7é (ab)", "don't É''s x×y, <|ab"]
+    assert tokens.ids(texts) == library(texts)
+    assert sorted(asked[0]) == sorted(["ab", ",", ".", "!", "é", "7", "(", ")", "don", "'t", "''", "s", "x×y,", "<|ab"])
+    bits = ["'", "'", "s", "T", "re", "vE", "m", "ll", "l", "d", "a", "É", "ß", "Þ", "×", "÷", "7", "!", "-", "\x01", "\x7f", "<|", "|>", "<|endoftext|>", "β", "\u0301", "日", " ", " ", "\n", "\t"]
+    for _ in range(600):
+        texts = ["".join(rng.choices(bits, k=rng.choice([0, 1, 2, 5, 30]))) for _ in range(rng.choice([1, 3]))]
+        assert tokens.ids(texts) == library(texts), texts
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 
